@@ -33,3 +33,42 @@ def train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eval_part(sales(spark, sf_dir))
+
+
+def seen_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows without one series, so that predicting it takes the default."""
+    from pyspark.sql import functions as F
+
+    return train(spark, sf_dir).filter(~((F.col("store_id") == 0) & (F.col("product_id") == 11)))
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation rows with the value of the same hour a week earlier, hour and product volume."""
+    from pyspark.sql import functions as F
+
+    from shelftide.forecast.naive import SeasonalNaive
+    from shelftide.functions.columns import exact_sum
+    from shelftide.operators.series import attach, distinct_keys
+
+    past, future = train(spark, sf_dir), evaluation(spark, sf_dir)
+    volume = past.groupBy("product_id").agg(exact_sum("sale_amount").alias("product_volume"))
+    scored = SeasonalNaive().fit(past).transform(future).withColumn("hour", F.hour("dt").cast("int"))
+    return attach(scored, volume, ["product_id"], distinct_keys(past, ["product_id"])[0])
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return docs.join(labels, "doc_id", "left")
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder on the storage the session shares with its executors."""
+    import uuid
+
+    from shelftide.session import checkpoint_folder
+
+    root = checkpoint_folder(spark)
+    if root is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{root}/{name}-{uuid.uuid4().hex}"

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import oracle_business, query_business
+from . import (
+    oracle_business,
+    oracle_profile,
+    query_business,
+    query_profile,
+)
 
-QUERIES = {**query_business.QUERIES}
-ORACLE = {**oracle_business.ORACLE}
+QUERIES = {**query_business.QUERIES, **query_profile.QUERIES}
+ORACLE = {**oracle_business.ORACLE, **oracle_profile.ORACLE}
 
 _unknown = set(ORACLE) - set(QUERIES)
 if _unknown:
