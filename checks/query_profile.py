@@ -13,10 +13,12 @@ from . import inputs
 ROW = ["store_id", "product_id", "dt"]
 
 
-def _rounded(df, digits=6, skip=()):
+def _rounded(df, digits=6, nudge=None):
+    """Doubles rounded for the comparison; ``nudge`` moves values off exact ties first."""
     kinds = dict(df.dtypes)
     return df.select(*[
-        F.round(c, digits).alias(c) if kinds[c] == "double" and c not in skip else F.col(c) for c in df.columns
+        F.round(F.col(c) + nudge if nudge else c, digits).alias(c) if kinds[c] == "double" else F.col(c)
+        for c in df.columns
     ])
 
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from . import (
     oracle_business,
+    oracle_features,
+    oracle_models,
     oracle_profile,
     query_business,
+    query_features,
+    query_models,
     query_profile,
 )
 
-QUERIES = {**query_business.QUERIES, **query_profile.QUERIES}
-ORACLE = {**oracle_business.ORACLE, **oracle_profile.ORACLE}
+QUERIES = {**query_business.QUERIES, **query_profile.QUERIES, **query_features.QUERIES, **query_models.QUERIES}
+ORACLE = {**oracle_business.ORACLE, **oracle_profile.ORACLE, **oracle_features.ORACLE, **oracle_models.ORACLE}
 
 _unknown = set(ORACLE) - set(QUERIES)
 if _unknown:
