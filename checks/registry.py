@@ -5,16 +5,22 @@ from __future__ import annotations
 from . import (
     oracle_business,
     oracle_features,
+    oracle_learned,
     oracle_models,
     oracle_profile,
     query_business,
     query_features,
+    query_learned,
     query_models,
     query_profile,
 )
 
-QUERIES = {**query_business.QUERIES, **query_profile.QUERIES, **query_features.QUERIES, **query_models.QUERIES}
-ORACLE = {**oracle_business.ORACLE, **oracle_profile.ORACLE, **oracle_features.ORACLE, **oracle_models.ORACLE}
+QUERIES = {
+    **query_business.QUERIES, **query_profile.QUERIES, **query_features.QUERIES, **query_models.QUERIES, **query_learned.QUERIES,
+}
+ORACLE = {
+    **oracle_business.ORACLE, **oracle_profile.ORACLE, **oracle_features.ORACLE, **oracle_models.ORACLE, **oracle_learned.ORACLE,
+}
 
 _unknown = set(ORACLE) - set(QUERIES)
 if _unknown:

@@ -20,7 +20,7 @@ def require(df: DataFrame, columns: list[str]) -> None:
 
 
 def write_json(spark: SparkSession, record: dict, path: str) -> None:
-    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    spark.createDataFrame([(json.dumps(record, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_json(spark: SparkSession, path: str) -> dict:

@@ -65,17 +65,17 @@ def categorical_features(df: DataFrame) -> DataFrame:
     return attach(out, city_table(df), ["city_id"], n_city)
 
 
-def store_feature_table(df: DataFrame) -> DataFrame:
-    return df.groupBy("store_id").agg(
+def store_feature_columns() -> list[Column]:
+    return [
         exact_sum(Y).alias("store_total_sales"),
         F.count_distinct("product_id").alias("store_num_products"),
         exact_avg(Y).alias("store_avg_sales_per_product"),
         (F.count(F.when(F.col("hours_stock_status") == 0, 1)) / F.count(F.lit(1))).alias("store_stockout_freq"),
-    )
+    ]
 
 
 def store_features(df: DataFrame) -> DataFrame:
-    return _attach_one(df, store_feature_table(df), "store_id")
+    return _attach_one(df, df.groupBy("store_id").agg(*store_feature_columns()), "store_id")
 
 
 def avg_discount(df: DataFrame, category: str = "first_category_id", discount: str = "discount") -> DataFrame:
