@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.prep import finite, medians, numeric_columns, scale_parameters
+from ..operators.prep import medians, numeric_columns, scale_parameters
 
 VECTOR = "_features"
 NOT_FEATURES = ("store_id", "product_id", "city_id", "dt", "sale_amount")
@@ -24,15 +24,24 @@ class Inputs:
     centre: dict[str, float] = field(default_factory=dict)
     scale: dict[str, float] = field(default_factory=dict)
 
-    def column(self, c: str) -> Column:
-        out = F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(self.fill.get(c, 0.0)))
+    def column(self, c: str, floating: bool = True) -> Column:
+        """Prepared feature. Kept short, so that wide feature sets stay in compiled code."""
+        value = F.col(c).cast("double")
+        known = F.nanvl(value, F.lit(None).cast("double")) if floating else value
+        out = F.coalesce(known, F.lit(self.fill.get(c, 0.0)))
         if self.scale:
-            out = (out - F.lit(self.centre[c])) / F.lit(self.scale[c])
-        return finite(out)
+            # An infinite value, or one as far out as that, becomes a large finite one.
+            out = (out - F.lit(self.centre[c])) * F.lit(1.0 / self.scale[c])
+            out = F.greatest(F.least(out, F.lit(1e10)), F.lit(-1e10)) if floating else out
+        return out
+
+    def columns(self, df: DataFrame) -> list[Column]:
+        floating = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+        return [self.column(c, c in floating) for c in self.features]
 
     def assemble(self, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         names = [f"_f{i}" for i in range(len(self.features))]
-        wide = df.withColumns(dict(zip(names, [self.column(c) for c in self.features])))
+        wide = df.withColumns(dict(zip(names, self.columns(df))))
         return VectorAssembler(inputCols=[*names, *extra], outputCol=VECTOR).transform(wide).drop(*names)
 
     def record(self) -> dict:
@@ -50,7 +59,7 @@ def fit_inputs(df: DataFrame, features: Sequence[str], impute: str, scaling: str
     else:
         raise ValueError(f"unknown imputation: {impute}")
     if scaling:
-        filled = df.select(*[inputs.column(c).alias(c) for c in features])
+        filled = df.select(*[v.alias(c) for c, v in zip(features, inputs.columns(df))])
         row = scale_parameters(filled, features, scaling).first()
         inputs.centre = {c: float(row[f"{c}_centre"]) for c in features}
         inputs.scale = {c: float(row[f"{c}_scale"]) for c in features}

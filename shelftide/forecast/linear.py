@@ -52,7 +52,6 @@ class Linear(VectorForecaster):
         return f"linear_{self.kind}"
 
     def model(self, **fields) -> LinearModel:
-        fields["history"]["train_r2"] = float(fields["fitted"].summary.r2)
         return LinearModel(**fields)
 
     def estimator(self, rows: DataFrame) -> LinearRegression:

@@ -73,7 +73,10 @@ class Stacked(Forecaster):
         held = None
         if self.holdout:
             rows, held = train_val_split(rows, self.holdout, self.seed)
-        plain = {n: replace(b, features=features, target=self.target, holdout=0.0) for n, b in self.bases.items()}
+        plain = {
+            n: replace(b, features=features, target=self.target, holdout=0.0, keep=False, train_score=False)
+            for n, b in self.bases.items()
+        }
         rows = fold_column(rows, self.folds, self.seed, "_fold").select("_fold", *features, self.target)
         # Read once per fold and base model.
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -5,14 +5,15 @@ from __future__ import annotations
 import logging
 from abc import abstractmethod
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SEED
-from ..operators.metrics import mae, rmse
+from ..operators.metrics import mae, r2, rmse
 from ..operators.prep import fold_column, train_val_split
 from ..operators.profile import validate_input
 from .base import Forecaster, Model, write_json
@@ -60,6 +61,10 @@ class VectorForecaster(Forecaster):
     check: bool = False
     # Share of rows held back to report the error on; 0 fits on all rows.
     holdout: float = 0.0
+    # Keep the feature columns while fitting: several passes read them, and the
+    # windows behind them cost more than their storage.
+    keep: bool = True
+    train_score: bool = True
 
     @abstractmethod
     def estimator(self, rows: DataFrame):
@@ -80,14 +85,24 @@ class VectorForecaster(Forecaster):
         held = None
         if self.holdout:
             rows, held = train_val_split(rows, self.holdout, self.seed)
-        inputs = fit_inputs(rows, features, self.impute, self.scaling)
-        label = F.col(self.target).cast("double").alias("label")
-        prepared = inputs.assemble(rows).select(VECTOR, label)
-        fitted = self.estimator(prepared).fit(prepared)
-        model = self.model(
-            name=self.label(), config=self.settings(), feature_names=features, inputs=inputs, fitted=fitted,
-            history={"n_features": len(features)},
-        )
+        rows = rows.select(*features, self.target)
+        if self.keep:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            inputs = fit_inputs(rows, features, self.impute, self.scaling)
+            label = F.col(self.target).cast("double").alias("label")
+            prepared = inputs.assemble(rows).select(VECTOR, label)
+            fitted = self.estimator(prepared).fit(prepared)
+            model = self.model(
+                name=self.label(), config=self.settings(), feature_names=features, inputs=inputs, fitted=fitted,
+                history={"n_features": len(features)},
+            )
+            if self.train_score:
+                scored = model.raw(rows, "_raw")
+                model.history["train_r2"] = r2(scored, self.target, "_raw").first()[0]
+        finally:
+            if self.keep:
+                rows.unpersist()
         if held is not None:
             y, p = F.col(self.target), F.col("prediction")
             score = model.transform(held).agg(mae(y, p).alias("mae"), rmse(y, p).alias("rmse")).first()
@@ -101,15 +116,18 @@ class VectorForecaster(Forecaster):
     def cross_validate(self, df: DataFrame, folds: int = 5) -> DataFrame:
         """MAE per fold, unclipped; folds come from the row keys."""
         spark = df.sparkSession
+        features = choose_features(df, self.features, self.target)
+        plain = replace(self, features=features, holdout=0.0, check=False, keep=False, train_score=False)
         rows = fold_column(df.filter(F.col(self.target).isNotNull()), folds, self.seed, "_fold")
+        rows = rows.select("_fold", *features, self.target).persist(StorageLevel.MEMORY_AND_DISK)
         scores = []
-        for k in range(folds):
-            model = type(self)(**{**vars(self), "holdout": 0.0, "check": False,
-                                  "features": choose_features(df, self.features, self.target)}).fit(
-                rows.filter(F.col("_fold") != k).drop("_fold"))
-            held = rows.filter(F.col("_fold") == k).drop("_fold")
-            scored = model.raw(held, "_raw")
-            scores.append((k, scored.agg(mae(F.col(self.target), F.col("_raw"))).first()[0]))
+        try:
+            for k in range(folds):
+                model = plain.fit(rows.filter(F.col("_fold") != k))
+                scored = model.raw(rows.filter(F.col("_fold") == k), "_raw")
+                scores.append((k, scored.agg(mae(F.col(self.target), F.col("_raw"))).first()[0]))
+        finally:
+            rows.unpersist()
         return spark.createDataFrame(scores, "fold int, mae double")
 
 

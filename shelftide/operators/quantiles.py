@@ -1,7 +1,8 @@
 """Exact order statistics without gathering a column in one task.
 
-Values are first reduced to (value, count), so repeated values cost nothing.
-Counts are then summed per bucket, where the bucket is a monotone function of the
+Values are first reduced to (value, count), so repeated values cost nothing. A
+column with few distinct values is left to the built-in percentile over those
+counts. For others, counts are summed per bucket, where the bucket is a monotone function of the
 value, and a running total over the buckets tells which bucket holds each wanted
 rank. Only that bucket's distinct values are ordered one by one.
 """
@@ -9,6 +10,7 @@ rank. Only that bucket's distinct values are ordered one by one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 BUCKETS_PER_OCTAVE = 4096
 # Values closer to zero than this share one bucket per sign.
 SMALLEST = 1e-30
+# Distinct values up to which the built-in percentile, whose buffer holds them all, is used.
+BUILT_IN_UP_TO = 200_000
 
 
 def magnitude_bucket(value: Column) -> Column:
@@ -52,15 +56,12 @@ def percentiles_of_counts(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
         (F.sum("n").over(up_to) - F.col("n")).alias("before"),
         F.sum("n").over(every).alias("total"),
     )
+    # A percentile lies between two ranks; a bucket keeps those that fall into it.
     q = F.explode(F.array(*[F.lit(float(x)) for x in qs])).alias("q")
     wanted = hist.select("*", q).withColumn("at", (F.col("total") - 1) * F.col("q"))
-    ranks = F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank")
-    picks = (
-        wanted.select("name", "bucket", "before", "q", "at", ranks)
-        .join(hist.select("name", "bucket", F.col("n").alias("width")), ["name", "bucket"])
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("width")))
-        .drop("width")
-    )
+    ranks = F.array_distinct(F.array(F.floor("at"), F.ceil("at")))
+    held = F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
+    picks = wanted.select("name", "bucket", "before", "q", "at", F.explode(held).alias("rank"))
     # At most two rows per column and percentile.
     inside = bucketed.join(F.broadcast(picks), ["name", "bucket"])
     order = Window.partitionBy("name", "q", "rank").orderBy("value")
@@ -75,8 +76,24 @@ def percentiles_of_counts(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
     )
 
 
+def percentiles_of_few(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
+    """The same for columns known to have few distinct values."""
+    at = F.array(*[F.lit(float(x)) for x in qs])
+    found = counts.groupBy("name").agg(F.percentile("value", at, F.col("n")).alias("found"))
+    return found.select("name", F.inline(F.arrays_zip(at.alias("q"), F.col("found").alias("value"))))
+
+
 def exact_percentiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    return percentiles_of_counts(value_counts(df, cols), qs)
+    """Percentiles of several columns as (name, q, value), counted in one pass over the rows."""
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    few = [c for c in cols if sizes[c] <= BUILT_IN_UP_TO]
+    many = [c for c in cols if sizes[c] > BUILT_IN_UP_TO]
+    parts = []
+    if few:
+        parts.append(percentiles_of_few(value_counts(df, few), qs))
+    if many:
+        parts.append(percentiles_of_counts(value_counts(df, many), qs))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def percentile_row(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:

@@ -8,17 +8,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import magnitude_bucket
+from .series import attach, distinct_keys
 
 
-def dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+def dense_rank_desc(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, source: DataFrame | None = None
+) -> DataFrame:
     """Add the dense rank of ``value`` within ``keys``, largest first; null stays null.
 
     Rows are reduced to the distinct values of a group, those are counted per bucket
     of value, and a value's rank is the number of distinct values in higher buckets
-    plus its rank in its own. No task orders a whole group.
+    plus its rank in its own. No task orders a whole group. ``source`` is a cheaper
+    frame with the same keys and values to rank from.
     """
+    source = df if source is None else source
     values = (
-        df.select(*keys, (F.col(value) + F.lit(0.0)).alias("_v"))
+        source.select(*keys, (F.col(value) + F.lit(0.0)).alias("_v"))
         .filter(F.col("_v").isNotNull())
         .distinct()
         .withColumn("_b", magnitude_bucket(F.col("_v")))
@@ -33,8 +38,6 @@ def dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -
     ranked = values.join(above, [*keys, "_b"]).select(
         *keys, "_v", (F.col("_above") + F.dense_rank().over(inside)).cast("long").alias(name)
     )
-    return (
-        df.withColumn("_v", F.col(value) + F.lit(0.0))
-        .join(ranked, [*keys, "_v"], "left")
-        .select(*df.columns, name)
-    )
+    rows = df.withColumn("_v", F.col(value) + F.lit(0.0))
+    n_values = distinct_keys(source, [*keys, value])[0]
+    return attach(rows, ranked, [*keys, "_v"], n_values).select(*df.columns, name)

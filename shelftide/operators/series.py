@@ -92,13 +92,15 @@ def over_series(
     cell: Column | None = None,
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Apply ``transform(df, partition columns, order columns)`` within each group.
 
     The transform may look at most ``lookback`` rows back and ``lookahead`` rows
-    ahead, and must keep the rows and columns it is given.
+    ahead, and must keep the rows and columns it is given. ``sized_by`` is a cheaper
+    frame with the same groups to measure, such as the table ``df`` was built from.
     """
-    if longest_group(df, keys) <= hot_rows:
+    if longest_group(df if sized_by is None else sized_by, keys) <= hot_rows:
         return transform(df, list(keys), list(order))
     cell = hour_cell("dt") if cell is None else cell
     cold, hot = split_hot(df, keys, hot_rows)

@@ -253,8 +253,10 @@ def product_velocity(
     return over_series(df, velocity_columns(y, window), [product], order, lookback=window, **hot)
 
 
-def sales_rank(df: DataFrame, y: str = TARGET, category: str = "first_category_id") -> DataFrame:
-    return dense_rank_desc(df, [category], y, "product_sales_rank")
+def sales_rank(
+    df: DataFrame, y: str = TARGET, category: str = "first_category_id", source: DataFrame | None = None
+) -> DataFrame:
+    return dense_rank_desc(df, [category], y, "product_sales_rank", source)
 
 
 # --- exponentially weighted mean ---------------------------------------------

@@ -68,27 +68,19 @@ def lag_rolling(
 def features_full(df: DataFrame, *, discount_scale: float = 100.0, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Time, weather, promotion, store, product, cross and interaction features.
 
-    Statistics with the same key come from one aggregate, and all features over a
-    series from one shuffle.
+    Statistics with the same key come from one aggregate. The windows come first, on
+    rows as narrow as they were read, and the one over products before those over
+    series: rows placed by product are already placed for its series, so both use
+    one shuffle.
     """
     category = "first_category_id"
-    per_row = (
-        df.transform(calendar.time_parts)
-        .transform(lambda d: calendar.cyclical(d, "dow"))
-        .transform(calendar.time_interactions)
-        .transform(bins.temp_category)
-        .transform(bins.precip_category)
-        .transform(lambda d: bins.discount_category(d, scale=discount_scale))
-        .transform(bins.hot_weekend_afternoon)
-        .transform(bins.rainy_morning_discount)
-    )
     changes = {"avg_temperature": "temp_change", "precpt": "precip_change", "discount": "discount_change"}
+    out = windows.product_velocity(df, hot_rows=hot_rows)
     out = over_series(
-        per_row, windows.chain(windows.holiday_columns(), windows.change_columns(changes)),
-        SERIES_KEYS, lookback=1, lookahead=1, hot_rows=hot_rows,
+        out, windows.chain(windows.holiday_columns(), windows.change_columns(changes)),
+        SERIES_KEYS, lookback=1, lookahead=1, hot_rows=hot_rows, sized_by=df,
     )
-    out = windows.product_velocity(out, hot_rows=hot_rows)
-    out = windows.sales_rank(out)
+    out = windows.sales_rank(out, source=df)
 
     n_store, n_category, n_product, n_city, n_hour = distinct_keys(
         df, ["store_id"], [category], ["product_id"], ["city_id"], ["store_id", "dt"]
@@ -106,7 +98,17 @@ def features_full(df: DataFrame, *, discount_scale: float = 100.0, hot_rows: int
     out = attach(out, by_category, [category], n_category)
     out = attach(out, by_product, ["product_id"], n_product)
     out = attach(out, by_city, ["city_id"], n_city)
-    return attach(out, by_hour, ["store_id", "dt"], n_hour)
+    out = attach(out, by_hour, ["store_id", "dt"], n_hour)
+    return (
+        out.transform(calendar.time_parts)
+        .transform(lambda d: calendar.cyclical(d, "dow"))
+        .transform(calendar.time_interactions)
+        .transform(bins.temp_category)
+        .transform(bins.precip_category)
+        .transform(lambda d: bins.discount_category(d, scale=discount_scale))
+        .transform(bins.hot_weekend_afternoon)
+        .transform(bins.rainy_morning_discount)
+    )
 
 
 def model_feature_names(lags: Sequence[int] = MODEL_LAGS) -> list[str]:

@@ -21,6 +21,12 @@ CASES = {
 }
 
 
+@pytest.fixture(params=["built in", "buckets"], autouse=True)
+def path(request, monkeypatch):
+    if request.param == "buckets":
+        monkeypatch.setattr(quantiles, "BUILT_IN_UP_TO", -1)
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_matches_numpy(spark, name):
     values = CASES[name]
