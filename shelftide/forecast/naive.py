@@ -36,7 +36,10 @@ class TableModel(Model):
             found = attach(df, self.table, self.keys, self.n_keys)
         else:
             require(df, ["dt"])
-            found = attach(df.withColumn("_slot", _slot(self.lookup)), self.table, self.keys, self.n_keys)
+            found = attach(
+                df.withColumn("_slot", _slot(self.lookup)), self.table, self.keys, self.n_keys,
+                spread=self.lookup.startswith("back"),
+            )
         value = F.coalesce("_value", F.lit(self.default))
         if self.clip:
             value = F.greatest(value, F.lit(0.0))

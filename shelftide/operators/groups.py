@@ -41,8 +41,8 @@ def city_table(df: DataFrame) -> DataFrame:
     )
 
 
-def _attach_one(df: DataFrame, stats: DataFrame, *keys: str) -> DataFrame:
-    return attach(df, stats, keys, distinct_keys(df, keys)[0])
+def _attach_one(df: DataFrame, stats: DataFrame, *keys: str, spread: bool = False) -> DataFrame:
+    return attach(df, stats, keys, distinct_keys(df, keys)[0], spread=spread)
 
 
 def store_stats(df: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def category_spillover(df: DataFrame, category: str = "first_category_id") -> Da
 def complementary_count(df: DataFrame) -> DataFrame:
     """Other products the store has in the same hour."""
     counts = df.groupBy("store_id", "dt").agg((F.count_distinct("product_id") - 1).alias("comp_products_count"))
-    return _attach_one(df, counts, "store_id", "dt")
+    return _attach_one(df, counts, "store_id", "dt", spread=True)
 
 
 def city_total(df: DataFrame, city: str = "city_id") -> DataFrame:

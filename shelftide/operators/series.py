@@ -138,12 +138,29 @@ def distinct_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[int]:
     return list(df.agg(*sketches).first())
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], n_keys: int) -> DataFrame:
-    """Left-join per-key statistics back to the rows.
+def attach(
+    df: DataFrame,
+    stats: DataFrame,
+    keys: Sequence[str],
+    n_keys: int,
+    *,
+    spread: bool = False,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Left-join one row of statistics per key back to the rows.
 
-    Up to ``BROADCAST_KEYS`` keys the statistics are broadcast and the rows stay
-    where they are. Beyond that both sides shuffle, and adaptive execution splits
-    the partitions of keys that hold many rows.
+    Up to ``BROADCAST_KEYS`` keys the statistics are broadcast and the rows stay where
+    they are. Beyond that both sides shuffle, except the rows of keys held by more than
+    ``hot_rows`` rows: those keys are few, so their statistics are broadcast to them.
+    ``spread`` says that no key can hold many rows, as with keys that contain the hour.
     """
-    right = F.broadcast(stats) if n_keys <= BROADCAST_KEYS else stats
-    return df.join(right, list(keys), "left")
+    keys = list(keys)
+    if n_keys <= BROADCAST_KEYS:
+        return df.join(F.broadcast(stats), keys, "left")
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    if spread or longest_group(df, keys) <= hot_rows:
+        return df.join(stats, keys, "left")
+    cold, hot = split_hot(df, keys, hot_rows)
+    hot_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+    of_hot = stats.join(F.broadcast(hot_keys), keys, "left_semi")
+    return cold.join(stats, keys, "left").unionByName(hot.join(F.broadcast(of_hot), keys, "left"))

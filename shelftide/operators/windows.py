@@ -23,6 +23,8 @@ from .series import Transform, over_series
 
 # Longer frames are put together from two running aggregates instead of being recomputed per row.
 SLIDE_UP_TO = 32
+# Longest series handed to pandas whole.
+PANDAS_ROWS = 500_000
 
 
 def chain(*transforms: Transform) -> Transform:
@@ -268,8 +270,8 @@ def ewm_prior(
     keys: Sequence[str] = SERIES_KEYS,
     order: Sequence[str] = ("dt",),
     *,
-    hot_rows: int = series.HOT_ROWS,
-    block_rows: int = series.BLOCK_ROWS,
+    hot_rows: int = PANDAS_ROWS,
+    block_rows: int = PANDAS_ROWS,
     cell: Column | None = None,
 ) -> DataFrame:
     """Exponentially weighted mean of the rows before the current one.

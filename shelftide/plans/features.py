@@ -61,7 +61,7 @@ def lag_rolling(
         windows.rolling_columns(Y, sizes, stats, Y + "_roll_{stat}_{w}", prior=True),
     )
     out = over_series(df, steps, SERIES_KEYS, lookback=max(*lags, *sizes) + 1, hot_rows=hot_rows)
-    out = windows.ewm_prior(out, sizes, hot_rows=hot_rows)
+    out = windows.ewm_prior(out, sizes, hot_rows=min(hot_rows, windows.PANDAS_ROWS))
     return bins.fill_features(out, [c for c in out.columns if c not in df.columns], 0.0)
 
 
@@ -98,7 +98,7 @@ def features_full(df: DataFrame, *, discount_scale: float = 100.0, hot_rows: int
     out = attach(out, by_category, [category], n_category)
     out = attach(out, by_product, ["product_id"], n_product)
     out = attach(out, by_city, ["city_id"], n_city)
-    out = attach(out, by_hour, ["store_id", "dt"], n_hour)
+    out = attach(out, by_hour, ["store_id", "dt"], n_hour, spread=True)
     return (
         out.transform(calendar.time_parts)
         .transform(lambda d: calendar.cyclical(d, "dow"))

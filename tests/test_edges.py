@@ -163,6 +163,28 @@ def test_broadcast_depends_on_the_number_of_keys(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_keys_join_apart_from_the_rest(spark, monkeypatch):
+    from shelftide.operators import series
+
+    rows = [{"store_id": 1}] * 9 + [{"store_id": None}] * 7 + [{"store_id": s, "sale_amount": float(s)} for s in (2, 3, 4)]
+    df = make(spark, *rows)
+    want = sorted(groups.store_stats(df).select("store_id", "store_max_sales", "store_product_count").collect(), key=str)
+    monkeypatch.setattr(series, "BROADCAST_KEYS", 1)
+    monkeypatch.setattr(series, "HOT_ROWS", 5)
+    got = groups.store_stats(df)
+    assert sorted(got.select("store_id", "store_max_sales", "store_product_count").collect(), key=str) == want
+    assert got.columns == groups.store_stats(df).columns and got.count() == len(rows)
+
+
+def test_last_rows_are_pruned_before_the_shuffle(spark, sf_dir):
+    from checks import inputs
+
+    from shelftide.forecast.naive import Naive
+
+    table = Naive("seasonal", 24).fit(inputs.train(spark, sf_dir)).table
+    assert "WindowGroupLimit" in table._jdf.queryExecution().executedPlan().toString()
+
+
 def test_finite_values(spark):
     rows = [(float("nan"),), (float("inf"),), (float("-inf"),), (None,), (2.5,)]
     out = prep.finite_clean(spark.createDataFrame(rows, "x double"), ["x"])

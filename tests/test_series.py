@@ -126,7 +126,10 @@ def test_short_block_still_holds_the_lookback(random_series):
     _same(got[f"{Y}_lag_40"], _expected(pdf).groupby(KEYS)[Y].shift(40))
 
 
-def test_dense_rank(random_series):
+@pytest.mark.parametrize("broadcast, hot_rows", [(10**6, 10**6), (0, 10**6), (0, 3)])
+def test_dense_rank(random_series, monkeypatch, broadcast, hot_rows):
+    monkeypatch.setattr(series, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(series, "HOT_ROWS", hot_rows)
     pdf, df = random_series
     got = _frame(windows.sales_rank(df))
     want = _expected(pdf).groupby("first_category_id")[Y].rank(method="dense", ascending=False)
