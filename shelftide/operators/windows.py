@@ -110,31 +110,38 @@ def discount_change(df: DataFrame, discount: str = "discount", **hot) -> DataFra
 
 # --- rolling statistics ------------------------------------------------------
 
-def _summary_over(y: str, frame) -> Column:
-    """Mergeable summary of a frame."""
+def _summary_over(y: str, frame, stats: set[str]) -> Column:
+    """Mergeable summary of a frame, with the parts the statistics need."""
     c = F.col(y).cast("double")
-    return F.struct(F.count(c).over(frame).alias("n"), F.avg(c).over(frame).alias("mean"),
-                    F.var_pop(c).over(frame).alias("var"), F.min(c).over(frame).alias("min"),
-                    F.max(c).over(frame).alias("max"))
+    parts = [F.count(c).over(frame).alias("n")]
+    if stats & {"mean", "std"}:
+        parts.append(F.avg(c).over(frame).alias("mean"))
+    if "std" in stats:
+        parts.append(F.var_pop(c).over(frame).alias("var"))
+    parts += [f(c).over(frame).alias(n) for n, f in (("min", F.min), ("max", F.max)) if n in stats]
+    return F.struct(*parts)
 
 
-def _merged(a: Column, b: Column) -> dict[str, Column]:
+def _merged(a: Column, b: Column, stats: set[str]) -> dict[str, Column]:
     """Statistics of two disjoint summaries; either may be missing."""
-    zero = F.lit(0.0)
-    na = F.coalesce(a.getField("n"), F.lit(0))
-    nb = F.coalesce(b.getField("n"), F.lit(0))
-    ma, mb = F.coalesce(a.getField("mean"), zero), F.coalesce(b.getField("mean"), zero)
-    va, vb = F.coalesce(a.getField("var"), zero), F.coalesce(b.getField("var"), zero)
+    def known(s: Column, part: str) -> Column:
+        return F.coalesce(s.getField(part), F.lit(0.0))
+
+    na, nb = F.coalesce(a.getField("n"), F.lit(0)), F.coalesce(b.getField("n"), F.lit(0))
     n = na + nb
     some = F.nullif(n, F.lit(0))
-    spread = va * na + vb * nb + (ma - mb) * (ma - mb) * na * nb / some
-    return {
-        "n": n,
-        "mean": (ma * na + mb * nb) / some,
-        "std": F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0)))),
-        "min": F.least(a.getField("min"), b.getField("min")),
-        "max": F.greatest(a.getField("max"), b.getField("max")),
-    }
+    out = {"n": n}
+    if stats & {"mean", "std"}:
+        ma, mb = known(a, "mean"), known(b, "mean")
+        out["mean"] = (ma * na + mb * nb) / some
+    if "std" in stats:
+        spread = known(a, "var") * na + known(b, "var") * nb + (ma - mb) * (ma - mb) * na * nb / some
+        out["std"] = F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0))))
+    if "min" in stats:
+        out["min"] = F.least(a.getField("min"), b.getField("min"))
+    if "max" in stats:
+        out["max"] = F.greatest(a.getField("max"), b.getField("max"))
+    return out
 
 
 def rolling_columns(
@@ -172,7 +179,7 @@ def rolling_columns(
                 value = {"n": F.count(c).over(frame), "mean": F.avg(c).over(frame), "std": F.stddev_samp(c).over(frame),
                          "min": F.min(c).over(frame), "max": F.max(c).over(frame)}
             else:
-                df, value, made = _two_runs(df, y, parts, order, size, prior)
+                df, value, made = _two_runs(df, y, parts, order, size, prior, set(stats))
                 helpers += made
             if quantiles:
                 # One pass over the frame for all of its quantiles.
@@ -193,20 +200,20 @@ def rolling_columns(
     return apply
 
 
-def _two_runs(df, y, parts, order, size, prior):
+def _two_runs(df, y, parts, order, size, prior, stats):
     pos, run, head, tail, back, ahead = (f"_{c}_{size}" for c in ("pos", "run", "head", "tail", "back", "ahead"))
     whole = _window(parts, order)
     df = df.withColumn(pos, F.row_number().over(whole) - 1).withColumn(run, F.floor(F.col(pos) / size))
     up = Window.partitionBy(*parts, run).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(*parts, run).orderBy(F.desc(pos)).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn(head, _summary_over(y, up)).withColumn(tail, _summary_over(y, down))
+    df = df.withColumn(head, _summary_over(y, up, stats)).withColumn(tail, _summary_over(y, down, stats))
     along = Window.partitionBy(*parts).orderBy(pos)
     # A frame that is exactly one run is covered by its start alone.
     exact = F.col(pos) % size == (0 if prior else size - 1)
     first = F.when(~exact, F.lag(tail, size if prior else size - 1).over(along))
     last = F.lag(head, 1).over(along) if prior else F.col(head)
     df = df.withColumn(back, first).withColumn(ahead, last)
-    return df, _merged(F.col(back), F.col(ahead)), [pos, run, head, tail, back, ahead]
+    return df, _merged(F.col(back), F.col(ahead), stats), [pos, run, head, tail, back, ahead]
 
 
 def rolling_incl(
