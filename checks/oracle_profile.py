@@ -52,6 +52,8 @@ ORACLE = {
     "parse_dt": "SELECT event_id, CAST(ts AS TIMESTAMP) AS dt FROM events",
     "sample_fraction": on_sales(
         f"SELECT {ROW} FROM sales WHERE {key_bucket(['store_id', 'product_id'], 1000)} < 300"),
+    "sample_n": on_sales(f"""SELECT {ROW}, {Y} FROM sales
+        ORDER BY {key_bucket(['store_id', 'product_id', 'epoch(dt)'], M)}, {ROW} LIMIT 100"""),
     "sort_series": on_sales(f"SELECT {ROW}, {Y} FROM sales"),
     "preview": on_sales(f"SELECT * FROM sales ORDER BY {ROW} LIMIT 5"),
     "write_predictions": on_sales(f"SELECT {ROW}, prediction FROM preds", PREDICTIONS),

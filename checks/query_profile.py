@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelftide.operators import profile
+from shelftide.operators import prep, profile
 from shelftide.sources import sales as source
 from shelftide.sources import sinks
 
@@ -56,7 +56,8 @@ QUERIES = {
     "scan_sales": inputs.sales,
     "parse_dt": parse_dt,
     "sample_fraction": _on_sales(lambda d: source.sample_series(d, 0.3).select(*ROW)),
-    "sample_n": _on_sales(lambda d: source.sample_n(d, 100, ROW).select(*ROW, "sale_amount")),
+    "sample_n": _on_sales(
+        lambda d: source.sample_n(d, 100, ROW, by=prep.key_bucket(prep.row_keys(), prep.MODULUS)).select(*ROW, "sale_amount")),
     "sort_series": _on_sales(lambda d: source.sort_series(d).select(*ROW, "sale_amount")),
     "preview": _on_sales(lambda d: source.preview(d, 5)),
     "write_predictions": write_predictions,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,9 +98,12 @@ def sample_series(
     return df.filter(key_bucket(list(keys), 1000, seed) < round(fraction * 1000))
 
 
-def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = SEED) -> DataFrame:
+def sample_n(
+    df: DataFrame, n: int, keys: Sequence[str], seed: int = SEED, by: Column | None = None
+) -> DataFrame:
     """At most ``n`` rows chosen by a hash of their keys; the same rows on every run."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    chance = F.xxhash64(*keys, F.lit(seed)) if by is None else by
+    return df.orderBy(chance, *keys).limit(n)
 
 
 def sort_series(df: DataFrame, keys: Sequence[str] = ("store_id", "product_id", "dt")) -> DataFrame:
