@@ -179,3 +179,32 @@ def test_history_gives_first_lags(spark):
     assert got[f"{Y}_lag_1"].tolist() == [6, 7, 8] and got[f"{Y}_lag_3"].tolist() == [4, 5, 6]
     alone = _frame(features.features_model(future, (1, 3)))
     assert alone[f"{Y}_lag_1"].tolist() == [0, 7, 8]
+
+
+def test_cut_series_use_no_pairwise_join(random_series):
+    _, df = random_series
+    for out in (windows.lag_features(df, hot_rows=0), windows.ewm_prior(df, hot_rows=0), series.with_position(df, KEYS, hot_rows=0)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_basic_pipeline_with_every_step(spark, sf_dir):
+    from checks import inputs
+
+    df = inputs.sales(spark, sf_dir).filter("product_id < 2")
+    out = features.features_all(df)
+    assert out.count() == df.count() and set(df.columns) <= set(out.columns)
+    got, want = _frame(out), _frame(df)
+    _same(got[f"{Y}_lag_21"], want.groupby(KEYS)[Y].shift(21))
+    _same(got["stockout_lag_7"], want.groupby(KEYS)["hours_stock_status"].shift(7))
+    assert "stockout_lag_14" not in got
+    _same(got[f"{Y}_rolling_max_168"], want.groupby(KEYS)[Y].transform(lambda x: x.rolling(168, min_periods=1).max()))
+    assert got["store_product_count"].nunique() == 1 and got["temp_hour_interaction"].notna().all()
+
+
+def test_lag_rolling_pipeline_same_on_blocks(random_series):
+    _, df = random_series
+    a = _frame(features.lag_rolling(df, (1, 5), (6, 40)))
+    b = _frame(features.lag_rolling(df, (1, 5), (6, 40), hot_rows=50))
+    pd.testing.assert_frame_equal(a, b[a.columns], check_exact=False, rtol=1e-9, atol=1e-9)
+    assert not a.filter(regex="lag_|roll_|ewm_").isna().any().any()
