@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, packing, quality, secrets, simhash
+from . import chat, decontam, line_dedup, packing, quality, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "distance", "start", "end", "n_words")
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -58,11 +63,18 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.col("junk").alias("p_junk"), F.col("toxic").alias("p_toxic"), (F.col("toxic") >= 0.5).alias("toxic"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_chat_format": op5_chat_format,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_toxicity_chain": op10_toxicity_chain,
 }
