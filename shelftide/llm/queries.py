@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, line_dedup, packing, quality, secrets, simhash, toxicity
+from . import chat, decontam, line_dedup, packing, quality, secrets, simhash, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "distance", "start", "end", "n_words")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
