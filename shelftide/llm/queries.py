@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, line_dedup, packing, quality, secrets, simhash, suffix_dedup, toxicity
+from . import chat, ctw, decontam, line_dedup, packing, quality, secrets, simhash, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw.score_documents(_table(spark, sf_dir, "documents"))
+    bits = -F.col("score") * F.log2(F.lit(10.0)) / F.col("n_bytes")
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", bits.alias("bits_per_byte"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     text = F.coalesce("text", F.lit(""))
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_quality_rules": op6_quality_rules,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_chain": op10_toxicity_chain,
