@@ -165,13 +165,12 @@ def reduce_instance(counts: list[int], capacity: int) -> list[tuple[Pattern, int
                     half = _largest(counts, room // 2)
                     counts[i] += 1
                     best = 0
-                    for x in range(min(i, room - a), 0, -1):
-                        if counts[x] and x >= room - x:
-                            y = _largest(counts, room - x)
-                            if y == x and counts[x] < 2:
-                                y = _largest(counts, x - 1)
+                    for x in range(i, 0, -1):
+                        if counts[x]:
+                            counts[x] -= 1
+                            y = _largest(counts, min(room - x, x))
+                            counts[x] += 1
                             best = max(best, x + y if y else 0)
-                    best = max(best, 2 * half if half and counts[half] > 1 else 0, half + _largest(counts, half - 1) if half else 0)
                     if i >= best:
                         chosen = (j, i)
                     elif k and k >= half:
