@@ -117,8 +117,8 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series, after moving the argument beyond 8."""
-    shift = np.zeros_like(x)
-    y = x.copy()
+    y = np.array(x, float)
+    shift = np.zeros_like(y)
     for _ in range(8):
         low = y < 8
         shift[low] -= np.log(y[low])
