@@ -20,8 +20,10 @@ def _quality() -> str:
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, '{_SPACE}'), lambda x: x <> '') AS ws,
         string_split(t, chr(10)) AS ls FROM d),
-g AS (SELECT doc_id, unnest(generate_series(1, len(ws) - 4)) AS i, ws FROM w WHERE len(ws) >= 5),
-h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i+4], ' ')) AS n FROM g),
+g AS (SELECT doc_id, unnest(generate_series(1, len(ws))) AS i, unnest(ws) AS x FROM w),
+f AS (SELECT doc_id, i, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS five,
+    lead(x, 4) OVER o AS last FROM g WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM f WHERE last IS NOT NULL),
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM h, unnest([0, 1, 2, 3, 4]) AS u(k) WHERE n > 1 GROUP BY doc_id),
 counts AS (SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
