@@ -7,19 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from shelftide.operators.views import hourly_business
 from shelftide.sources.retail import eval_part, retail_hourly, train_part
 
-# The derived table is kept in the session only while its source is small.
-KEEP_BELOW_EVENTS = 5_000_000
-
 _kept: dict[tuple[str, str], DataFrame] = {}
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _kept:
-        df = retail_hourly(spark, sf_dir)
-        # Counted from the file footers.
-        events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-        _kept[key] = df.persist() if events < KEEP_BELOW_EVENTS else df
+        _kept[key] = retail_hourly(spark, sf_dir).persist()
     return _kept[key]
 
 
@@ -57,7 +51,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return docs.join(labels, "doc_id", "left")
 
@@ -68,7 +62,4 @@ def folder(spark: SparkSession, name: str) -> str:
 
     from shelftide.session import checkpoint_folder
 
-    root = checkpoint_folder(spark)
-    if root is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"

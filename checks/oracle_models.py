@@ -104,8 +104,8 @@ ORACLE = {
     "robust_scale": on_sales(
         f"SELECT {ROW}, " + ", ".join(
             f"""ROUND(({c} - {_sub(f'quantile_cont({c}, 0.5)')})
-              / ({_sub(f'quantile_cont({c}, 0.75)')} - {_sub(f'quantile_cont({c}, 0.25)')}), 6) AS {c}""" for c in FEATURES[:1])
-        + f", {', '.join(f'ROUND({c}, 6) AS {c}' for c in FEATURES[1:])} FROM fr", FEATURE_ROWS),
+              / COALESCE(NULLIF({_sub(f'quantile_cont({c}, 0.75)')} - {_sub(f'quantile_cont({c}, 0.25)')}, 0), 1), 6) AS {c}""" for c in FEATURES)
+        + " FROM fr", FEATURE_ROWS),
     "finite_clean": on_sales(f"""SELECT {ROW}, CASE hour(dt) WHEN 0 THEN 0 WHEN 1 THEN 1e10 WHEN 2 THEN -1e10
         WHEN 3 THEN 0 ELSE {Y} END AS x FROM sales"""),
     "train_val_split": on_sales(f"""SELECT {ROW}, CASE WHEN {key_bucket(['store_id', 'product_id', 'epoch(dt)'], 1000)} < 200
@@ -129,6 +129,8 @@ ORACLE = {
         f"SELECT {ALL}, ROUND({MAE} / ((SELECT AVG(s) FROM step) + 1e-8), 6) AS mase FROM preds", PREDICTIONS, STEP),
     "metrics_by_group": on_sales(
         f"SELECT store_id, product_id, {ALL}, COUNT(*) AS n_observations FROM preds GROUP BY 1, 2", PREDICTIONS),
+    **{f"metrics_by_{k}": on_sales(f"SELECT {c}, {ALL}, COUNT(*) AS n_observations FROM preds GROUP BY 1", PREDICTIONS)
+       for k, c in (("store", "store_id"), ("product", "product_id"), ("category", "first_category_id"))},
     "evaluate_df": on_sales(f"SELECT {CORE} FROM preds", PREDICTIONS),
     "business_metrics": on_sales(
         "\nUNION ALL ".join(

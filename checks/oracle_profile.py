@@ -40,8 +40,8 @@ _DESCRIBE = "\nUNION ALL ".join(
       CAST(quantile_cont(CAST({c} AS DOUBLE), 0.75) AS DOUBLE) AS q75, CAST(MAX({c}) AS DOUBLE) AS max FROM sales"""
     for c, t in _NUMERIC
 )
-_DOC_COLUMNS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
-_DOCS = "(SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))"
+_DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
+_DOCS = "(SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))"
 _NULLS = "\nUNION ALL ".join(
     f"""SELECT '{c}' AS "column", COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls FROM docs"""
     for c in _DOC_COLUMNS
@@ -78,7 +78,8 @@ ORACLE = {
     "profile_nulls": f'WITH docs AS {_DOCS} SELECT "column", nulls AS missing FROM ({_NULLS})',
     "profile_duplicates": """
         SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows
-        FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_suppkey, l_partkey, l_shipdate)""",
+        FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+          l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""",
     "describe": on_sales(_DESCRIBE),
     "target_moments": on_sales(
         f"""SELECT ROUND(mean, 6) AS mean, ROUND(median, 6) AS median, ROUND(std, 6) AS std,

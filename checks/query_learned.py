@@ -77,9 +77,9 @@ def stacked(spark, sf_dir):
 
 
 def model_summary(spark, sf_dir):
-    about = naive.Naive("last").fit(inputs.train(spark, sf_dir))
-    n = about.table.agg(F.count(F.lit(1)).alias("n_series"))
-    return n.select(F.lit(about.name).alias("model_name"), F.lit(True).alias("is_fitted"), "n_series")
+    about = Linear(features=[f"{Y}_lag_1", WEEK], impute="constant", scaling=None).fit(_train(spark, sf_dir)).summary()
+    row = (about["model_name"], about["is_fitted"], about["num_features"], about["training_history"]["train_r2"])
+    return _rounded(spark.createDataFrame([row], "model_name string, is_fitted boolean, num_features int, train_r2 double"))
 
 
 def save_model(spark, sf_dir):
@@ -141,7 +141,7 @@ def features_model_history(spark, sf_dir):
 
 QUERIES = {
     "linear_ols": _coefficients(kind="linear"),
-    "linear_ridge": _coefficients(kind="ridge", alpha=1000.0),
+    "linear_ridge": _coefficients(kind="ridge", alpha=1.0),
     "linear_lasso": _coefficients(kind="lasso", alpha=1.0),
     "linear_elasticnet": _coefficients(kind="elasticnet", alpha=1.0),
     "coefficients": two_coefficients,

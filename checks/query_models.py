@@ -90,6 +90,10 @@ def compare_models(spark, sf_dir):
     return _rounded(metrics.compare_models(scored))
 
 
+def _by(column):
+    return lambda spark, d: _shown(metrics.metrics_by_group(inputs.predictions(spark, d), [column]))
+
+
 def train_r2(spark, sf_dir):
     return _rounded(metrics.r2(inputs.predictions(spark, sf_dir)))
 
@@ -98,7 +102,7 @@ QUERIES = {
     "impute_median": _fitted_on_train(lambda train, df: prep.impute_median(train, df, FEATURES)),
     "impute_constant": _fitted_on_train(lambda train, df: prep.impute_constant(df, FEATURES)),
     "standard_scale": _fitted_on_train(lambda train, df: prep.scale(train, df, FEATURES)),
-    "robust_scale": _fitted_on_train(lambda train, df: prep.scale(train, df, FEATURES[:1], "robust")),
+    "robust_scale": _fitted_on_train(lambda train, df: prep.scale(train, df, FEATURES, "robust")),
     "finite_clean": finite_clean,
     "train_val_split": train_val_split,
     "clip_nonneg": clip_nonneg,
@@ -115,6 +119,7 @@ QUERIES = {
     "all_metrics": all_metrics,
     "metrics_by_group": lambda spark, d: _shown(
         metrics.metrics_by_group(inputs.predictions(spark, d), ["store_id", "product_id"])),
+    **{f"metrics_by_{k}": _by(c) for k, c in (("store", "store_id"), ("product", "product_id"), ("category", "first_category_id"))},
     "evaluate_df": lambda spark, d: _rounded(metrics.evaluate(inputs.predictions(spark, d))),
     "business_metrics": lambda spark, d: _rounded(metrics.business_metrics(inputs.predictions(spark, d))),
     "compare_models": compare_models,

@@ -22,6 +22,14 @@ def _rounded(df, digits=6, nudge=None):
     ])
 
 
+def scan_sales(spark, sf_dir):
+    """The table written as CSV, columns in another order and one more among them, and read back."""
+    sales = inputs.sales(spark, sf_dir)
+    path = inputs.folder(spark, "csv")
+    sales.select(F.lit("x").alias("note"), *reversed(sales.columns)).write.option("header", True).csv(path)
+    return source.read_csv(spark, path)
+
+
 def parse_dt(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     text = events.select("event_id", F.col("ts").cast("string").alias("dt"))
@@ -36,7 +44,7 @@ def write_predictions(spark, sf_dir):
 
 def profile_duplicates(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return profile.duplicate_rows(lines, ["l_suppkey", "l_partkey", "l_shipdate"])
+    return profile.duplicate_rows(lines)
 
 
 def outlier_flag(spark, sf_dir):
@@ -53,7 +61,7 @@ def _on_sales(fn, rounded=False):
 
 
 QUERIES = {
-    "scan_sales": inputs.sales,
+    "scan_sales": scan_sales,
     "parse_dt": parse_dt,
     "sample_fraction": _on_sales(lambda d: source.sample_series(d, 0.3).select(*ROW)),
     "sample_n": _on_sales(

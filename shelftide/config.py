@@ -29,35 +29,12 @@ OUTLIER_Z = 3.0
 SEED = 42
 
 
-@dataclass(frozen=True)
-class Columns:
-    """Names a sales table uses; the defaults are the canonical ones."""
-
-    store: str = "store_id"
-    product: str = "product_id"
-    city: str = "city_id"
-    category: str = "first_category_id"
-    dt: str = DT
-    target: str = TARGET
-    stock: str = STOCK
-    discount: str = "discount"
-    holiday: str = "holiday_flag"
-    temperature: str = "avg_temperature"
-    precipitation: str = "precpt"
-
-    @property
-    def series(self) -> list[str]:
-        return [self.store, self.product]
-
-
 @dataclass(frozen=True)
 class FeatureSettings:
-    lags: tuple[int, ...] = LONG_LAGS
-    windows: tuple[int, ...] = WINDOWS
+    """``lags`` are those of the model features; ``fill_value`` stands for lags before a series begins."""
+
+    lags: tuple[int, ...] = MODEL_LAGS
     seasonal_periods: tuple[int, ...] = SEASONAL_PERIODS
-    outlier_z: float = OUTLIER_Z
-    velocity_window: int = VELOCITY_WINDOW
-    discount_scale: float = 100.0
     fill_value: float = 0.0
 
 
@@ -71,7 +48,6 @@ class NaiveSettings:
 
 @dataclass(frozen=True)
 class LinearSettings:
-    kind: str = "ridge"
     alpha: float = 1.0
     l1_ratio: float = 0.5
     impute: str = "median"
@@ -80,28 +56,29 @@ class LinearSettings:
 
 @dataclass(frozen=True)
 class TreeSettings:
-    kind: str = "random_forest"
-    num_trees: int = 100
-    max_depth: int = 10
-    min_leaf: int = 1
+    """``None`` leaves a value to the kind of tree."""
+
+    num_trees: int | None = None
+    max_depth: int | None = None
+    min_leaf: int | None = None
     learning_rate: float = 0.1
     subsample: float = 0.8
-    feature_subset: str = "all"
+    feature_subset: str | None = None
     impute: str = "median"
 
 
 @dataclass(frozen=True)
 class TrainSettings:
+    """``test_size`` is held out of a fit for its training record; ``sample_fraction`` takes whole series."""
+
     test_size: float = 0.2
     folds: int = 5
     seed: int = SEED
     sample_fraction: float = 1.0
-    horizons: tuple[int, ...] = (1, 6, 24, 168)
 
 
 @dataclass(frozen=True)
 class Settings:
-    columns: Columns = field(default_factory=Columns)
     features: FeatureSettings = field(default_factory=FeatureSettings)
     naive: NaiveSettings = field(default_factory=NaiveSettings)
     linear: LinearSettings = field(default_factory=LinearSettings)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import json
 from abc import ABC, abstractmethod
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +86,12 @@ class Forecaster(ABC):
         }
 
 
+def in_parallel(jobs: list[Callable[[], Any]], parallelism: int) -> list[Any]:
+    """Results of independent fits, up to ``parallelism`` at a time."""
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        return pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs])
+
+
 def importance_rows(spark: SparkSession, importance: dict[str, float], top: int | None = None) -> DataFrame:
     """Importances as rows, largest first; one row per feature."""
     rows = spark.createDataFrame(list(importance.items()), "feature string, importance double")

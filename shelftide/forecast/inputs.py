@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -30,9 +31,10 @@ class Inputs:
         known = F.nanvl(value, F.lit(None).cast("double")) if floating else value
         out = F.coalesce(known, F.lit(self.fill.get(c, 0.0)))
         if self.scale:
-            # An infinite value, or one as far out as that, becomes a large finite one.
+            # An infinite value becomes a large finite one; finite ones stay as they are.
             out = (out - F.lit(self.centre[c])) * F.lit(1.0 / self.scale[c])
-            out = F.greatest(F.least(out, F.lit(1e10)), F.lit(-1e10)) if floating else out
+            if floating:
+                out = F.when(out == math.inf, F.lit(1e10)).when(out == -math.inf, F.lit(-1e10)).otherwise(out)
         return out
 
     def columns(self, df: DataFrame) -> list[Column]:

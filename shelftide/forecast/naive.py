@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,15 @@ class TableModel(Model):
     clip: bool = False
     lookup: str = "series"
 
+    def __post_init__(self):
+        # One small row per key: computed once, and read by every later transform.
+        if self.table is not None:
+            self.table = self.table.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def release(self) -> None:
+        """Gives back the room of the fitted table; it is computed anew if used again."""
+        self.table.unpersist()
+
     def transform(self, df: DataFrame) -> DataFrame:
         require(df, SERIES)
         kept = df.columns
@@ -104,7 +114,7 @@ class Naive(Forecaster):
         )
 
     def _last(self, df):
-        return df.groupBy(*SERIES).agg(F.max_by(Y, "dt").alias("_value"))
+        return df.groupBy(*SERIES).agg(F.max_by(Y, F.struct("dt", Y)).alias("_value"))
 
     def _seasonal(self, df):
         # The rank filter prunes each map task to ``period`` rows per series before the shuffle.
@@ -117,7 +127,7 @@ class Naive(Forecaster):
         return df.groupBy(*SERIES).agg(exact_avg(Y).alias("_value"))
 
     def _drift(self, df):
-        last, first, n = F.max_by(Y, "dt"), F.min_by(Y, "dt"), F.count(F.lit(1))
+        last, first, n = F.max_by(Y, F.struct("dt", Y)), F.min_by(Y, F.struct("dt", Y)), F.count(F.lit(1))
         trend = F.when(n > 1, (last - first) / F.nullif(n - 1, F.lit(0))).otherwise(F.lit(0.0))
         return df.groupBy(*SERIES).agg((last + trend).alias("_value"))
 
@@ -155,7 +165,7 @@ class SimpleNaive(Forecaster):
         require(df, [*SERIES, "dt", Y])
         known = df.dropna(subset=[*SERIES, Y])
         return TableModel(
-            name="simple_naive", table=known.groupBy(*SERIES).agg(F.max_by(Y, "dt").alias("_value")),
+            name="simple_naive", table=known.groupBy(*SERIES).agg(F.max_by(Y, F.struct("dt", Y)).alias("_value")),
             n_keys=distinct_keys(known, SERIES)[0], default=_median(df, self.fallback),
         )
 

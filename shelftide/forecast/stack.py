@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import SEED
 from ..operators.metrics import mae, rmse
 from ..operators.prep import fold_column, train_val_split
-from .base import Forecaster, Model, load_model, write_json
+from .base import Forecaster, Model, in_parallel, load_model, write_json
 from .linear import Linear, LinearModel, baseline
 from .tree import boosted_baseline
 from .vector import VectorForecaster, VectorModel
@@ -62,6 +62,7 @@ class Stacked(Forecaster):
     holdout: float = 0.2
     fill: float = 0.0
     seed: int = SEED
+    parallelism: int = 4
 
     def __post_init__(self):
         if self.bases is None:
@@ -81,16 +82,18 @@ class Stacked(Forecaster):
         # Read once per fold and base model.
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            parts = []
-            for k in range(self.folds):
-                rest, part = rows.filter(F.col("_fold") != k), rows.filter(F.col("_fold") == k)
-                parts.append(_predicted(part, {n: b.fit(rest) for n, b in plain.items()}))
-            unseen = reduce(DataFrame.unionByName, parts)
+            # No fit depends on another: one per fold and base model, and the final ones (fold None).
+            wanted = [(k, n) for k in (*range(self.folds), None) for n in plain]
+            parts_of = {k: rows if k is None else rows.filter(F.col("_fold") != k) for k in (*range(self.folds), None)}
+            models = dict(zip(wanted, in_parallel([partial(plain[n].fit, parts_of[k]) for k, n in wanted], self.parallelism)))
+            unseen = reduce(DataFrame.unionByName, [
+                _predicted(rows.filter(F.col("_fold") == k), {n: models[k, n] for n in plain}) for k in range(self.folds)
+            ])
             columns = [f"base_{n}" for n in plain]
             meta = Linear(
                 features=[*columns, *features], target=self.target, impute="constant", scaling=None
             ).fit(unseen)
-            final = {n: b.fit(rows) for n, b in plain.items()}
+            final = {n: models[None, n] for n in plain}
         finally:
             rows.unpersist()
         model = StackedModel(

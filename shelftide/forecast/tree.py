@@ -86,14 +86,14 @@ class Tree(VectorForecaster):
         return TreeModel(**fields)
 
     def estimator(self, rows: DataFrame):
-        # With a shared folder, boosting cuts its lineage every ten rounds, and deep
-        # trees keep the node of every row instead of walking from the root.
-        kept = checkpoint_folder(rows.sparkSession) is not None
-        deep = kept and self.max_depth > 8 and self.kind in ("decision_tree", "random_forest")
+        # Boosting cuts its lineage every ten rounds, and deep trees keep the node of every
+        # row instead of walking from the root; both need the shared folder.
+        checkpoint_folder(rows.sparkSession)
+        deep = self.max_depth > 8 and self.kind in ("decision_tree", "random_forest")
         common: dict[str, Any] = dict(
             featuresCol=VECTOR, labelCol="label", predictionCol="_prediction", maxDepth=self.max_depth,
             minInstancesPerNode=self.min_leaf, maxBins=self.max_bins, seed=self.seed, maxMemoryInMB=1024,
-            cacheNodeIds=deep, checkpointInterval=10 if kept else -1,
+            cacheNodeIds=deep, checkpointInterval=10,
         )
         if self.kind == "decision_tree":
             return DecisionTreeRegressor(**common)

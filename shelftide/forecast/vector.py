@@ -6,6 +6,7 @@ import logging
 from abc import abstractmethod
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import partial
 from typing import Any
 
 from pyspark import StorageLevel
@@ -16,7 +17,7 @@ from ..config import SEED
 from ..operators.metrics import mae, r2, rmse
 from ..operators.prep import fold_column, train_val_split
 from ..operators.profile import validate_input
-from .base import Forecaster, Model, write_json
+from .base import Forecaster, Model, in_parallel, write_json
 from .inputs import VECTOR, Inputs, choose_features, fit_inputs
 
 log = logging.getLogger(__name__)
@@ -113,19 +114,21 @@ class VectorForecaster(Forecaster):
     def settings(self) -> dict[str, Any]:
         return {k: (list(v) if isinstance(v, tuple) else v) for k, v in vars(self).items()}
 
-    def cross_validate(self, df: DataFrame, folds: int = 5) -> DataFrame:
+    def cross_validate(self, df: DataFrame, folds: int = 5, parallelism: int = 4) -> DataFrame:
         """MAE per fold, unclipped; folds come from the row keys."""
         spark = df.sparkSession
         features = choose_features(df, self.features, self.target)
         plain = replace(self, features=features, holdout=0.0, check=False, keep=False, train_score=False)
         rows = fold_column(df.filter(F.col(self.target).isNotNull()), folds, self.seed, "_fold")
         rows = rows.select("_fold", *features, self.target).persist(StorageLevel.MEMORY_AND_DISK)
-        scores = []
+
+        def score(k: int) -> tuple[int, float]:
+            model = plain.fit(rows.filter(F.col("_fold") != k))
+            scored = model.raw(rows.filter(F.col("_fold") == k), "_raw")
+            return k, scored.agg(mae(F.col(self.target), F.col("_raw"))).first()[0]
+
         try:
-            for k in range(folds):
-                model = plain.fit(rows.filter(F.col("_fold") != k))
-                scored = model.raw(rows.filter(F.col("_fold") == k), "_raw")
-                scores.append((k, scored.agg(mae(F.col(self.target), F.col("_raw"))).first()[0]))
+            scores = in_parallel([partial(score, k) for k in range(folds)], parallelism)
         finally:
             rows.unpersist()
         return spark.createDataFrame(scores, "fold int, mae double")

@@ -9,13 +9,17 @@ are aggregated before anything is shuffled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hour_cell, same_keys
+from ..session import checkpoint_folder
 
+# Groups beyond this are cut; a step that has any writes its input once, so that both
+# parts of it, and the steps before, are read and not computed again.
 HOT_ROWS = 5_000_000
 BLOCK_ROWS = 1_000_000
 BROADCAST_KEYS = 500_000
@@ -25,6 +29,13 @@ _HELPERS = ("_cell", "_before", "_pos", "_block", "_copy")
 Transform = Callable[[DataFrame, Sequence[str], Sequence[str | Column]], DataFrame]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder."""
+    path = f"{checkpoint_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def longest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest group, from a count that combines on the map side."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -103,7 +114,7 @@ def over_series(
     if longest_group(df if sized_by is None else sized_by, keys) <= hot_rows:
         return transform(df, list(keys), list(order))
     cell = hour_cell("dt") if cell is None else cell
-    cold, hot = split_hot(df, keys, hot_rows)
+    cold, hot = split_hot(written(df), keys, hot_rows)
     cut = blocks(hot, keys, order, cell, lookback, lookahead, block_rows)
     done = transform(cut, [*keys, "_block"], ["_pos"])
     done = done.filter(~F.col("_copy")).drop(*_HELPERS)
@@ -124,7 +135,7 @@ def with_position(
     if longest_group(df, keys) <= hot_rows:
         return df.withColumn(name, plain)
     cell = hour_cell("dt") if cell is None else cell
-    cold, hot = split_hot(df, keys, hot_rows)
+    cold, hot = split_hot(written(df), keys, hot_rows)
     placed = positions(hot, keys, order, cell)
     placed = placed.withColumn(name, F.col("_pos").cast("int")).drop("_cell", "_before", "_pos")
     return cold.withColumn(name, plain).unionByName(placed)
@@ -160,6 +171,7 @@ def attach(
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if spread or longest_group(df, keys) <= hot_rows:
         return df.join(stats, keys, "left")
+    df = written(df)
     cold, hot = split_hot(df, keys, hot_rows)
     hot_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
     of_hot = stats.join(F.broadcast(hot_keys), keys, "left_semi")

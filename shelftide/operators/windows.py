@@ -300,6 +300,7 @@ def ewm_prior(
     if series.longest_group(df, keys) <= hot_rows:
         return df.groupBy(*keys).applyInPandas(short, schema)
     cell = hour_cell("dt") if cell is None else cell
+    df = series.written(df)
     cold, hot = series.split_hot(df, keys, hot_rows)
     done = _ewm_blocks(df, hot, spans, names, y, keys, order, cell, block_rows)
     return cold.groupBy(*keys).applyInPandas(short, schema).unionByName(done)
@@ -324,15 +325,21 @@ def _ewm_blocks(df, hot, spans, names, y, keys, order, cell, block_rows):
         x = pdf["_x"].to_numpy("float64")
         seen_at = pdf["_seen"].iloc[0]
         fresh = pd.isna(seen_at)
-        gap = 0 if fresh else int(min(pdf["_pos"].iloc[0] - seen_at, block_rows))
-        lead = np.full(max(gap, 0), np.nan)
+        known = np.flatnonzero(~np.isnan(x))
         new = {}
         for i, s in enumerate(spans):
             def ewm(start, values):
-                if lead.size:
-                    lead[0] = start
-                full = pd.Series(np.concatenate([lead, values]))
-                return full.ewm(span=s, adjust=False).mean().to_numpy()[lead.size:]
+                if fresh:
+                    return pd.Series(values).ewm(span=s, adjust=False).mean().to_numpy()
+                out = np.full(len(values), start)
+                if known.size:
+                    # The start's weight shrinks with every row since the last value seen.
+                    first, alpha = known[0], 2 / (s + 1)
+                    kept = (1 - alpha) ** float(pdf["_pos"].iloc[first] - seen_at)
+                    rest = values[first:].copy()
+                    rest[0] = (kept * start + alpha * rest[0]) / (kept + alpha)
+                    out[first:] = pd.Series(rest).ewm(span=s, adjust=False).mean().to_numpy()
+                return out
             new[bases[i]] = ewm(0.0, x)
             new[slopes[i]] = np.zeros(len(x)) if fresh else ewm(1.0, np.where(np.isnan(x), np.nan, 0.0))
         return pdf.assign(**new)

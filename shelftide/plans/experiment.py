@@ -19,6 +19,7 @@ from ..forecast.tree import Tree
 from ..operators import metrics
 from ..operators.profile import data_summary
 from ..sources import sinks
+from ..sources.sales import sample_series
 from .features import features_basic, features_model, model_feature_names
 
 NAIVE = ("naive", "last", "mean", "drift", "seasonal_profile", "simple_naive", "seasonal_naive", "moving_average")
@@ -38,12 +39,19 @@ def create_model(name: str, settings: Settings | None = None, features: Sequence
     if name == "moving_average":
         return MovingAverage(s.naive.windows, s.naive.weights)
     if name in ("linear", "ridge", "lasso", "elasticnet"):
-        return Linear(features=features, kind=name, alpha=s.linear.alpha, l1_ratio=s.linear.l1_ratio,
-                      impute=s.linear.impute, scaling=s.linear.scaling, **options)
+        return Linear(**{
+            "features": features, "kind": name, "alpha": s.linear.alpha, "l1_ratio": s.linear.l1_ratio, "impute": s.linear.impute,
+            "scaling": s.linear.scaling, "seed": s.train.seed, "holdout": s.train.test_size, **options,
+        })
     if name in ("decision_tree", "random_forest", "gradient_boosting", "boosted_colsample"):
-        return Tree(features=features, kind=name, impute=s.tree.impute, **options)
+        return Tree(**{
+            "features": features, "kind": name, **vars(s.tree), "seed": s.train.seed, "holdout": s.train.test_size, **options,
+        })
     if name == "stacked":
-        return Stacked(features=features or model_feature_names(), folds=s.train.folds, **options)
+        return Stacked(**{
+            "features": features or model_feature_names(s.features.lags), "folds": s.train.folds, "seed": s.train.seed,
+            "holdout": s.train.test_size, "fill": s.features.fill_value, **options,
+        })
     raise ValueError(f"unknown model: {name}")
 
 
@@ -65,9 +73,19 @@ def run_experiment(
     output: str | None = None,
     **options,
 ) -> Run:
-    """One model on the basic features, scored on training and evaluation rows."""
+    """One model, scored on training and evaluation rows.
+
+    The stacked model gets cycles and lags, the others the basic features.
+    """
     spark = train.sparkSession
-    past, future = features_basic(train), features_basic(evaluation)
+    settings = settings or Settings()
+    if settings.train.sample_fraction < 1:
+        train, evaluation = (sample_series(d, settings.train.sample_fraction, settings.train.seed) for d in (train, evaluation))
+    if name == "stacked":
+        lags, fill = settings.features.lags, settings.features.fill_value
+        past, future = (features_model(d, lags, fill=fill) for d in (train, evaluation))
+    else:
+        past, future = features_basic(train), features_basic(evaluation)
     forecaster = create_model(name, settings, **options)
     start = time.time()
     model = forecaster.fit(past)
@@ -76,14 +94,14 @@ def run_experiment(
     fit_score = metrics.all_metrics(model.transform(past))
     score = metrics.all_metrics(scored, past)
     importance = model.importance() or {}
-    top = dict(sorted(importance.items(), key=lambda kv: -kv[1])[:10])
+    ranked = dict(sorted(importance.items(), key=lambda kv: (-kv[1], kv[0])))
     about = model.summary()
     record = spark.range(1).select(
         F.lit(about["model_name"]).alias("model_name"),
         F.lit(seconds).alias("training_time_seconds"),
         F.lit(len(model.feature_names)).alias("n_features"),
         F.lit(json.dumps(about["config"], default=str)).alias("model_config"),
-        F.lit(json.dumps(top)).alias("top_features"),
+        F.lit(json.dumps(ranked)).alias("feature_importance"),
         fit_score.select(F.struct(*fit_score.columns)).scalar().alias("train_metrics"),
         score.select(F.struct(*score.columns)).scalar().alias("eval_metrics"),
         past.agg(F.count(F.lit(1))).scalar().alias("n_train_samples"),

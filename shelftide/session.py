@@ -23,12 +23,11 @@ def local_session(cores: int | str = "*", memory: str = "12g", partitions: int =
     return spark
 
 
-def checkpoint_folder(spark: SparkSession) -> str | None:
+def checkpoint_folder(spark: SparkSession) -> str:
     """The session's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` wins. A temporary folder is set only for a local
-    master, where driver and executors share one disk; on a cluster without the
-    setting there is none, and iterative fits run without checkpoints.
+    ``spark.checkpoint.dir`` names it. Only a local master, where driver and executors share one disk, may do
+    without: a temporary folder is set there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -37,6 +36,7 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named and sc.master.startswith("local"):
         named = tempfile.mkdtemp(prefix="shelftide-checkpoint-")
-    if named:
-        sc.setCheckpointDir(named)
+    if not named:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(named)
     return named

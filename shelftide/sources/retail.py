@@ -14,8 +14,6 @@ from ..functions.columns import weekday_monday0
 
 PRODUCTS = 12
 USERS_PER_STORE = 15
-FIRST_HOUR = "2024-01-01 00:00:00"
-LAST_HOUR = "2024-01-30 23:00:00"
 SPLIT_AT = "2024-01-24 00:00:00"
 
 # Size of a sale by weekday, Monday first.
@@ -41,9 +39,10 @@ def event_cells(events: DataFrame) -> DataFrame:
 def retail_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     cells = event_cells(events)
-    hours = F.sequence(
-        F.lit(FIRST_HOUR).cast("timestamp"), F.lit(LAST_HOUR).cast("timestamp"), F.expr("interval 1 hour")
-    )
+    # Whole days from the first event to the last: two values.
+    day = lambda c: F.date_trunc("day", c).cast("timestamp")
+    first, last = events.agg(day(F.min("ts")), day(F.max("ts")) + F.expr("interval 23 hours")).first()
+    hours = F.sequence(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"), F.expr("interval 1 hour"))
     grid = (
         events.select(F.floor(F.col("user_id") / USERS_PER_STORE).cast("long").alias("store_id"))
         .distinct()

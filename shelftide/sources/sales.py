@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,18 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = SALES_SCHEMA) -> DataFrame:
-    return clean(spark.read.schema(schema).option("header", True).csv(path))
+    """Columns are found by their header, in any order; others are left out, and a missing one raises.
+
+    Text that is no value of its column's type becomes null.
+    """
+    parts = []
+    for one in [path] if isinstance(path, str) else path:
+        text = spark.read.option("header", True).option("enforceSchema", False).csv(one)
+        missing = [f.name for f in schema if f.name not in text.columns]
+        if missing:
+            raise ValueError(f"{one} has no column {', '.join(missing)}")
+        parts.append(text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema]))
+    return clean(reduce(DataFrame.unionByName, parts))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

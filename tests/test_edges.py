@@ -296,3 +296,20 @@ def test_views_work_from_sql(spark, sf_dir):
     n = spark.sql("select count(*) c from hourly_business where is_weekend = 1").first().c
     assert n == 12 * 24 * 8
     assert spark.sql("select * from store_dashboard").count() == 1
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    df = make(spark, {"store_id": 7, "sale_amount": 2.5}, {"store_id": 8, "discount": None})
+    path = str(tmp_path / "permuted")
+    df.select(F.lit("x").alias("note"), *reversed(df.columns)).write.option("header", True).csv(path)
+    back = sales.read_csv(spark, path)
+    assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
+    df.drop("dt").write.option("header", True).csv(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="dt"):
+        sales.read_csv(spark, str(tmp_path / "short"))
+
+
+def test_csv_text_that_is_no_value_is_null(spark, tmp_path):
+    df = make(spark, {}).withColumn("discount", F.lit("much"))
+    df.write.option("header", True).csv(str(tmp_path / "odd"))
+    assert sales.read_csv(spark, str(tmp_path / "odd")).first()["discount"] is None

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import numpy as np
 import pandas as pd
@@ -238,3 +239,43 @@ def test_experiment_writes_everything(spark, sf_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "run/predictions")).count() == 2016
     assert spark.read.json(str(tmp_path / "run/results")).first().model_name == "tree_decision_tree"
     assert load_model(spark, str(tmp_path / "run/model")).summary()["is_fitted"]
+
+
+def test_settings_reach_the_models():
+    from shelftide.config import FeatureSettings, LinearSettings, Settings, TrainSettings, TreeSettings
+
+    s = Settings(
+        features=FeatureSettings(lags=(2,), fill_value=1.5), linear=LinearSettings(alpha=3.0, l1_ratio=0.1),
+        tree=TreeSettings(num_trees=7, max_depth=3, min_leaf=9, learning_rate=0.3, subsample=0.5, feature_subset="log2"),
+        train=TrainSettings(test_size=0.1, folds=3, seed=5),
+    )
+    forest = experiment.create_model("random_forest", s)
+    assert (forest.num_trees, forest.max_depth, forest.min_leaf, forest.feature_subset) == (7, 3, 9, "log2")
+    assert (forest.learning_rate, forest.subsample, forest.seed, forest.holdout) == (0.3, 0.5, 5, 0.1)
+    net = experiment.create_model("elasticnet", s)
+    assert (net.alpha, net.l1_ratio, net.holdout) == (3.0, 0.1, 0.1)
+    stack = experiment.create_model("stacked", s)
+    assert (stack.folds, stack.seed, stack.holdout, stack.fill) == (3, 5, 0.1, 1.5) and "sale_amount_lag_2" in stack.features
+    assert experiment.create_model("random_forest").num_trees == 100
+
+
+def test_stacked_experiment_on_a_sample(spark, sf_dir):
+    from checks import inputs
+    from shelftide.config import Settings, TrainSettings, TreeSettings
+    from shelftide.forecast.linear import Linear
+
+    past, future = inputs.train(spark, sf_dir), inputs.evaluation(spark, sf_dir)
+    s = Settings(tree=TreeSettings(num_trees=2, max_depth=2), train=TrainSettings(folds=2, sample_fraction=0.5))
+    bases = {"linear": Linear(kind="ridge", impute="constant"), "tree": experiment.create_model("gradient_boosting", s)}
+    row = experiment.run_experiment(past, future, "stacked", s, bases=bases).record.first()
+    assert 0 < row["n_train_samples"] < past.count()
+    assert len(json.loads(row["feature_importance"])) == 9
+
+
+def test_fitted_table_is_held(spark, sf_dir):
+    from checks import inputs
+
+    model = naive.MovingAverage().fit(inputs.train(spark, sf_dir))
+    assert model.table.is_cached
+    model.release()
+    assert not model.table.is_cached

@@ -208,3 +208,30 @@ def test_lag_rolling_pipeline_same_on_blocks(random_series):
     b = _frame(features.lag_rolling(df, (1, 5), (6, 40), hot_rows=50))
     pd.testing.assert_frame_equal(a, b[a.columns], check_exact=False, rtol=1e-9, atol=1e-9)
     assert not a.filter(regex="lag_|roll_|ewm_").isna().any().any()
+
+
+def test_ewm_over_a_long_gap(spark):
+    """The weight of the last value shrinks with all the rows of a gap, however small the blocks."""
+    start = pd.Timestamp("2024-01-01")
+    y = [5.0] + [None] * 60 + [9.0, 2.0]
+    pdf = pd.DataFrame({"store_id": 1, "product_id": 1, "dt": [start + pd.Timedelta(hours=h) for h in range(len(y))], "sale_amount": y})
+    rows = [(1, 1, r.dt.to_pydatetime(), None if pd.isna(r.sale_amount) else r.sale_amount) for r in pdf.itertuples()]
+    df = spark.createDataFrame(rows, "store_id long, product_id long, dt timestamp, sale_amount double")
+    got = windows.ewm_prior(df, (400,), hot_rows=0, block_rows=7).orderBy("dt").toPandas()["sale_amount_ewm_400"]
+    want = pdf["sale_amount"].shift(1).ewm(span=400, adjust=False).mean()
+    np.testing.assert_allclose(got.to_numpy("float64"), want.to_numpy("float64"))
+
+
+def test_hot_plans_do_not_multiply(spark, sf_dir, monkeypatch):
+    """With every key hot, each step reads a written table once more, whatever stands before it."""
+    from checks import inputs
+
+    df = inputs.sales(spark, sf_dir)
+
+    def shuffles(out):
+        return out._jdf.queryExecution().optimizedPlan().toString().count("Window ")
+
+    cold = shuffles(features.features_full(df))
+    monkeypatch.setattr(series, "HOT_ROWS", 5)
+    monkeypatch.setattr(series, "BROADCAST_KEYS", 0)
+    assert shuffles(features.features_full(df, hot_rows=5)) <= 2 * cold
