@@ -72,6 +72,15 @@ ORACLE = {
     "cross_validate": on_sales("SELECT fold, ROUND(mae, 6) AS mae FROM scores", LAGGED, FOLDED),
     "cross_validate_summary": on_sales(
         "SELECT ROUND(AVG(mae), 6) AS mean_mae, ROUND(STDDEV_POP(mae), 6) AS std_mae FROM scores", LAGGED, FOLDED),
+    **{f"stump_{k}": on_sales(
+        f"""SELECT store_id, product_id, dt, ROUND(CASE WHEN hour(dt) <= best.h THEN low ELSE high END, 6) AS prediction
+        FROM sales, best WHERE dt >= {SPLIT}""",
+        f"""by_hour AS (SELECT hour(dt) AS h, COUNT(*) AS n, SUM({Y}) AS s FROM sales WHERE dt < {SPLIT} GROUP BY 1),
+        cut AS (SELECT h, SUM(n) OVER (ORDER BY h) AS n1, SUM(s) OVER (ORDER BY h) AS s1, SUM(n) OVER () AS n, SUM(s) OVER () AS s FROM by_hour),
+        best AS (SELECT h, s1 / n1 AS low, (s - s1) / (n - n1) AS high FROM cut WHERE n1 < n
+          ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC LIMIT 1)""")
+       for k in ("decision", "gradient_boosting", "boosted_colsample")},
+    "stump_importance": "SELECT 'hour' AS feature, CAST(1 AS DOUBLE) AS importance",
     "model_summary": on_sales(
         "SELECT 'linear_linear' AS model_name, TRUE AS is_fitted, CAST(2 AS INT) AS num_features, ROUND((wa * say + wb * sby) / syy, 6) AS train_r2 FROM w",
         LAGGED,

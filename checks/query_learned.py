@@ -61,6 +61,24 @@ def _tree(kind, **options):
     return run
 
 
+def _stump(spark, sf_dir, kind, **options):
+    """One split by hour: exact, as each hour is a bin of its own."""
+    past = inputs.train(spark, sf_dir).withColumn("hour", F.hour("dt"))
+    return Tree(features=["hour"], kind=kind, max_depth=1, min_leaf=1, feature_subset="all", impute="constant", **options).fit(past)
+
+
+def _stump_forecast(kind, **options):
+    def run(spark, sf_dir):
+        future = inputs.evaluation(spark, sf_dir).withColumn("hour", F.hour("dt"))
+        return _rounded(_stump(spark, sf_dir, kind, **options).transform(future).select(*ROW, "prediction"))
+
+    return run
+
+
+def stump_importance(spark, sf_dir):
+    return _rounded(importance_rows(spark, _stump(spark, sf_dir, "random_forest", num_trees=1).importance()))
+
+
 def _forest(spark, sf_dir):
     names = features.model_feature_names()
     return Tree(features=names, kind="random_forest", num_trees=10, max_depth=6, impute="constant").fit(_train(spark, sf_dir))
@@ -151,6 +169,10 @@ QUERIES = {
     "tree_random_forest": _tree("random_forest", num_trees=10, max_depth=8),
     "tree_gradient_boosting": _tree("gradient_boosting", num_trees=5, max_depth=4),
     "tree_boosted_colsample": _tree("boosted_colsample", num_trees=5, max_depth=4),
+    "stump_decision": _stump_forecast("decision_tree"),
+    "stump_gradient_boosting": _stump_forecast("gradient_boosting", num_trees=1, subsample=1.0),
+    "stump_boosted_colsample": _stump_forecast("boosted_colsample", num_trees=1, subsample=1.0),
+    "stump_importance": stump_importance,
     "importance_detail": lambda spark, d: _forest(spark, d).importance_detail(spark),
     "feature_importance": lambda spark, d: importance_rows(spark, _forest(spark, d).importance(), 10),
     "stacked": stacked,
