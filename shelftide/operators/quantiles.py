@@ -47,7 +47,10 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def percentiles_of_counts(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
     """Linearly interpolated percentiles of a (name, value, n) table, as (name, q, value)."""
-    bucketed = counts.withColumn("bucket", magnitude_bucket(F.col("value")))
+    # Distances from the least value: a narrow range far from zero gets as many buckets as any other.
+    least = counts.groupBy("name").agg(F.min("value").alias("least"))
+    # One row per column.
+    bucketed = counts.join(F.broadcast(least), "name").withColumn("bucket", magnitude_bucket(F.col("value") - F.col("least")))
     hist = bucketed.groupBy("name", "bucket").agg(F.sum("n").alias("n"))
     up_to = Window.partitionBy("name").orderBy("bucket")
     every = Window.partitionBy("name")
@@ -70,10 +73,10 @@ def percentiles_of_counts(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
         inside.withColumn("reached", reached)
         .filter((F.col("reached") > F.col("rank")) & (F.col("reached") - F.col("n") <= F.col("rank")))
     )
-    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
-    return at_rank.groupBy("name", "q").agg(
-        (low + (high - low) * (F.max("at") - F.floor(F.max("at")))).alias("value")
-    )
+    # The built-in percentile's formula, so that both ways agree to the last bit.
+    low, high, at = F.min_by("value", "rank"), F.max_by("value", "rank"), F.max("at")
+    between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+    return at_rank.groupBy("name", "q").agg(F.when(low == high, low).otherwise(between).alias("value"))
 
 
 def percentiles_of_few(counts: DataFrame, qs: Sequence[float]) -> DataFrame:

@@ -26,8 +26,9 @@ def dense_rank_desc(
         source.select(*keys, (F.col(value) + F.lit(0.0)).alias("_v"))
         .filter(F.col("_v").isNotNull())
         .distinct()
-        .withColumn("_b", magnitude_bucket(F.col("_v")))
     )
+    least = values.agg(F.min("_v")).first()[0]
+    values = values.withColumn("_b", magnitude_bucket(F.col("_v") - F.lit(least)))
     down = Window.partitionBy(*keys).orderBy(F.desc("_b"))
     above = (
         values.groupBy(*keys, "_b")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelftide.operators import quantiles
 
@@ -53,3 +54,21 @@ def test_buckets_follow_the_order_of_values(spark):
     out = _df(spark, {"x": values}).select("x", quantiles.magnitude_bucket(F.col("x")).alias("b")).orderBy("x").collect()
     buckets = [r.b for r in out]
     assert buckets == sorted(buckets)
+
+
+def test_both_ways_agree_to_the_last_bit(spark):
+    df = spark.range(1000).select((F.rand(3) * 100).alias("v"))
+    counts = quantiles.value_counts(df, ["v"]).cache()
+    qs = [0.1, 0.25, 0.3, 0.5, 0.77]
+    few, many = (
+        {r["q"]: r["value"] for r in f(counts, qs).collect()} for f in (quantiles.percentiles_of_few, quantiles.percentiles_of_counts)
+    )
+    assert few == many
+
+
+def test_a_narrow_range_far_from_zero_fills_many_buckets(spark):
+    df = spark.range(100_000).select((F.col("id") + 1_700_000_000).cast("double").alias("v"))
+    least = df.agg(F.min("v")).first()[0]
+    sizes = df.groupBy(quantiles.magnitude_bucket(F.col("v") - F.lit(least))).count()
+    assert sizes.agg(F.max("count")).first()[0] < 100
+    assert quantiles.percentiles_of_counts(quantiles.value_counts(df, ["v"]), [0.5]).first()["value"] == 1_700_000_000 + 49_999.5
