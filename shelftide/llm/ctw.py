@@ -37,9 +37,10 @@ DEPTH = 5
 SLOT_BITS = 22
 FREQUENT = 1_000_000
 HELD_OUT, PARTS = 1, 5
-_CHUNK = 1 << 23
-_FLUSH = 3_000_000
-_REMEMBERED = 1_000_000
+#: Bytes of text at a time, and strings and words that a worker holds.
+_CHUNK = 1 << 21
+_FLUSH = 1_500_000
+_REMEMBERED = 300_000
 _END = b"\n"
 
 
@@ -94,22 +95,26 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         return out(1, np.fromiter(map(word_key, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         words: Counter = Counter()
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, inverse = np.unique(np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in held)]), return_inverse=True)
+            return keys, np.bincount(inverse, np.concatenate([np.zeros(0), *(n for _, n in held)]), len(keys))
+
         for _, _, texts in _chunks(batches, 0):
-            new, times = np.unique(grams([t for _, t in texts], depth)[0], return_counts=True)
-            keys, inverse = np.unique(np.append(keys, new), return_inverse=True)
-            n = np.bincount(inverse, np.append(n, times)).astype(np.int64)
+            held.append(np.unique(grams([t for _, t in texts], depth)[0], return_counts=True))
+            if sum(len(k) for k, _ in held) > 2 * _FLUSH:
+                held = [merged()]
+                if len(held[0][0]) > _FLUSH:
+                    yield out(0, *held.pop())
             for w, _ in texts:
                 words.update(w)
             words[_END] += len(texts)
-            if len(keys) > _FLUSH:
-                yield out(0, keys, n)
-                keys, n = keys[:0], n[:0]
             if len(words) > _REMEMBERED:
                 yield words_out(words)
                 words = Counter()
-        yield out(0, keys, n)
+        yield out(0, *merged())
         yield words_out(words)
 
     return docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
@@ -325,9 +330,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             logs = np.empty(len(different))
             logs[old] = known_log[at[old]]
             logs[~old] = model.log_probability(different[~old])
-            known, known_log = np.append(known, different[~old]), np.append(known_log, logs[~old])
-            order = np.argsort(known)
-            known, known_log = (known[order], known_log[order]) if len(known) < _FLUSH else (known[:0], known_log[:0])
+            if len(known) < _FLUSH:
+                new = np.sort(different[~old])
+                place = np.searchsorted(known, new)
+                known, known_log = np.insert(known, place, new), np.insert(known_log, place, logs[~old][np.argsort(different[~old])])
             scores = np.add.reduceat(logs[codes], begins) / math.log(10)
 
             sizes = np.array([len(w) + 1 for w, _ in texts])
