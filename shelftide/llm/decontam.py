@@ -17,6 +17,7 @@ equal text are each reported. An empty table on either side gives an empty resul
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,7 +34,7 @@ SAMPLED_STEPS = 6
 MOST_WALKS = 12
 BLOCK_CHARS = 16_000_000
 _CHUNK_CHARS = 2_000_000
-_FILTER_BITS = 20
+_FILTER_BITS = 16
 
 _word = re.compile(r"\w+")
 
@@ -92,7 +93,13 @@ class _Class:
     steps: np.ndarray
     keys: list[list[np.ndarray]]
     places: list[list[np.ndarray]]
-    filters: list[list[np.ndarray]]
+
+    def filters(self) -> list[list[np.ndarray]]:
+        """Per walk and sample, which leading bits any key has; made where they are used."""
+        out = [[np.zeros(1 << _FILTER_BITS, bool) for _ in keys] for keys in self.keys]
+        for seen, key in zip(itertools.chain(*out), itertools.chain(*self.keys), strict=True):
+            seen[key >> np.uint64(64 - _FILTER_BITS)] = True
+        return out
 
 
 def _key(symbols: list[np.ndarray]) -> np.ndarray:
@@ -121,11 +128,15 @@ class Index:
             self.by_class.setdefault(len(t).bit_length() - 1, []).append(k)
         self.seed, self.classes = seed, []
         self.walks, self.reached = 0, 0.0
+        self._ready, self._filters = 0, []
         while self.walks < MOST_WALKS and self.reached < recall:
             self.walks += 1
             self.classes = [self._grown(c, members) for c, members in enumerate(sorted(self.by_class.items()))]
             self.reached = self._measured()
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_ready": 0, "_filters": []}
+
     def _rng(self, *salt: int) -> np.random.Generator:
         return np.random.default_rng([self.seed, *salt])
 
@@ -140,7 +151,7 @@ class Index:
     def _grown(self, nth: int, group: tuple[int, list[int]]) -> _Class:
         length, members = group
         walk = self.walks - 1
-        old = self.classes[nth] if walk else _Class(max(1, (1 << length) // 2), np.zeros((0, 0, 0), int), [], [], [])
+        old = self.classes[nth] if walk else _Class(max(1, (1 << length) // 2), np.zeros((0, 0, 0), int), [], [])
         steps = self._steps(1 << length)
         drawn = self._rng(length, walk, 2)
         chosen = np.array([np.sort(drawn.choice(steps, min(SAMPLED_STEPS, steps), replace=False)) for _ in range(SAMPLES)])
@@ -152,7 +163,7 @@ class Index:
         of = np.repeat(np.arange(len(members)), sizes - old.window + 1)
         at = (ends - sizes)[of] + offsets
         walked = self._walked(flat, at, ends[of], self._bits(length, walk), chosen)
-        keys, places, filters = [], [], []
+        keys, places = [], []
         place = np.column_stack([np.array(members)[of], offsets])
         for symbols in walked:
             good = np.all([s > 0 for s in symbols], axis=0)
@@ -160,11 +171,8 @@ class Index:
             order = np.argsort(key, kind="stable")
             keys.append(key[order])
             places.append(place[good][order])
-            seen = np.zeros(1 << _FILTER_BITS, bool)
-            seen[key >> np.uint64(64 - _FILTER_BITS)] = True
-            filters.append(seen)
         all_steps = np.concatenate([old.steps.reshape(walk, SAMPLES, -1), chosen[None]]) if walk else chosen[None]
-        return _Class(old.window, all_steps, [*old.keys, keys], [*old.places, places], [*old.filters, filters])
+        return _Class(old.window, all_steps, [*old.keys, keys], [*old.places, places])
 
     @staticmethod
     def _walked(flat: np.ndarray, at: np.ndarray, end: np.ndarray, bits: np.ndarray, chosen: np.ndarray) -> list[list[np.ndarray]]:
@@ -182,7 +190,9 @@ class Index:
     def candidates(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Rows of (document, item, where the item would begin). Each document ends with -1 in ``flat``."""
         found = []
-        for c, (length, _) in zip(self.classes, sorted(self.by_class.items()), strict=True):
+        if self._ready != self.walks:
+            self._ready, self._filters = self.walks, [c.filters() for c in self.classes]
+        for c, filters, (length, _) in zip(self.classes, self._filters, sorted(self.by_class.items()), strict=True):
             windows = -(-sizes // c.window)
             of = np.repeat(np.arange(len(sizes)), windows)
             nth = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -191,7 +201,7 @@ class Index:
                 for s, symbols in enumerate(self._walked(flat, at, end, self._bits(length, walk), c.steps[walk])):
                     good = np.flatnonzero(np.logical_and.reduce([x > 0 for x in symbols]))
                     key = _key([x[good] for x in symbols])
-                    hit = c.filters[walk][s][key >> np.uint64(64 - _FILTER_BITS)]
+                    hit = filters[walk][s][key >> np.uint64(64 - _FILTER_BITS)]
                     good, key = good[hit], key[hit]
                     table, places = c.keys[walk][s], c.places[walk][s]
                     lo, hi = np.searchsorted(table, key), np.searchsorted(table, key, side="right")
