@@ -24,8 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, with no lineage that a lost executor could break."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    """``df`` written to the shared folder and read back: computed once, with no lineage that a lost executor could break.
+
+    All tables of one application lie in one folder, which may go when the application has ended.
+    """
+    path = f"{shared_folder(df.sparkSession)}/llm-{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
