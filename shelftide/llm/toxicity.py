@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 8000
+SAMPLE = 6000
 FOLDS = 3
 FEATURES = 4000
 LEAST_Z = 4.0
@@ -42,49 +43,84 @@ CATEGORIES: dict[str, str] = {"junk": "quality = 0", "toxic": "toxic = 1"}
 _word = re.compile(r"\w+")
 
 
-def word_features(word: str) -> list[str]:
-    return [word, *(f"{word[:k]}-" for k in (4, 5, 6) if len(word) >= k)]
+def _key(feature: str) -> int:
+    return xxhash.xxh64_intdigest(feature) >> 1
 
 
-def shape_features(text: str, words: list[str]) -> list[str]:
-    """Tenths of capitals among letters, of different words among words, and whether marks are many."""
+def word_features(word: str) -> list[int]:
+    """Keys of a lower-case word and of its beginnings."""
+    return [_key(word), *(_key(f"{word[:k]}-") for k in (4, 5, 6) if len(word) >= k)]
+
+
+def shape_features(text: str, words: list[str]) -> list[int]:
+    """Keys of: tenths of capital words, of different words, and whether marks are many; length by powers of two."""
     n = max(len(words), 1)
     some = max(sum(map(len, words)), 1)
     capitals = sum(map(str.isupper, words))
     marks = sum(map(text.count, "!#*$%&|<>"))
-    return [f"capitals:{10 * capitals // n}", f"different:{10 * len(set(words)) // n}", f"marks:{min(9, 40 * marks // some)}", f"long:{min(len(words), 1 << 14).bit_length()}"]
+    return [_key(f) for f in (
+        f"capitals:{10 * capitals // n}", f"different:{10 * len(set(words)) // n}", f"marks:{min(9, 40 * marks // some)}", f"long:{len(words).bit_length()}")]
 
 
-def features(text: str | None) -> set[str]:
+def features(text: str | None) -> np.ndarray:
+    """The keys of all features of a text, each once."""
     text = text or ""
     words = _word.findall(text)
     found = set(shape_features(text, words))
     for w in {w.lower() for w in words}:
         found.update(word_features(w))
-    return found
+    return np.sort(np.fromiter(found, np.int64, len(found)))
 
 
 @dataclass
 class Linear:
-    """A logistic model over named features and the probabilities of earlier categories."""
+    """A logistic model over features by key and the probabilities of earlier categories."""
 
-    weights: dict[str, float]
+    weights: dict[int, float]
     earlier: list[float]
     intercept: float
 
-    def logit(self, names: Iterator[str] | list[str], earlier: list[float]) -> float:
-        return self.intercept + sum(self.weights.get(f, 0.0) for f in names) + float(np.dot(self.earlier, earlier))
+    def logit(self, present: list[int], earlier: list[float]) -> float:
+        return self.intercept + sum(self.weights.get(f, 0.0) for f in present) + float(np.dot(self.earlier, earlier))
+
+
+@dataclass
+class _Sets:
+    """Features of several texts: places in ``keys``, one text after another."""
+
+    keys: np.ndarray
+    flat: np.ndarray
+    of: np.ndarray
+    n: int
+
+    def only(self, keep: np.ndarray) -> _Sets:
+        own = keep[self.of]
+        return _Sets(self.keys, self.flat[own], (np.cumsum(keep) - 1)[self.of[own]], int(keep.sum()))
+
+
+def _gathered(texts: list[str]) -> _Sets:
+    found = [features(t) for t in texts]
+    ranked = np.concatenate([np.zeros(0, np.int64), *found])
+    ranked.sort()
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)])
+    keys = ranked[first][np.diff(np.append(first, len(ranked))) >= LEAST_DOCS]
+    del ranked
+    flat, of = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for row, f in enumerate(found):
+        place = np.searchsorted(keys, f)
+        own = place[np.append(keys, -1)[place] == f] if len(keys) else place[:0]
+        flat.append(own.astype(np.int32))
+        of.append(np.full(len(own), row, np.int32))
+    return _Sets(keys, np.concatenate(flat), np.concatenate(of), len(texts))
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _chosen(sets: list[list[int]], y: np.ndarray, weight: np.ndarray, n_names: int) -> np.ndarray:
+def _chosen(sets: _Sets, y: np.ndarray) -> np.ndarray:
     """Features whose log-odds are clearly not zero, the most certain first."""
-    flat = np.fromiter((f for s in sets for f in s), np.int64)
-    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    pos, neg = (np.bincount(flat, (y[of] == k).astype(float), minlength=n_names) for k in (1, 0))
+    pos, neg = (np.bincount(sets.flat, (y[sets.of] == k).astype(float), minlength=len(sets.keys)) for k in (1, 0))
     a, b = max((y == 1).sum(), 1), max((y == 0).sum(), 1)
     odds = np.log((pos + 0.5) / (a - pos + 0.5)) - np.log((neg + 0.5) / (b - neg + 0.5))
     z = np.abs(odds) / np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5) + 1 / (a - pos + 0.5) + 1 / (b - neg + 0.5))
@@ -92,15 +128,15 @@ def _chosen(sets: list[list[int]], y: np.ndarray, weight: np.ndarray, n_names: i
     return good[np.argsort(-z[good], kind="stable")][:FEATURES]
 
 
-def fit_linear(sets: list[list[int]], names: list[str], earlier: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Linear:
+def fit_linear(sets: _Sets, earlier: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Linear:
     share = float(np.average(y, weights=weight)) if len(y) else 0.0
     if not 0 < share < 1:
         return Linear({}, [0.0] * earlier.shape[1], 30.0 if share == 1 else -30.0)
-    chosen = _chosen(sets, y, weight, len(names))
-    place = np.full(len(names), -1)
+    chosen = _chosen(sets, y)
+    place = np.full(len(sets.keys), -1)
     place[chosen] = np.arange(len(chosen))
-    flat = place[np.fromiter((f for s in sets for f in s), np.int64)]
-    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[flat >= 0]
+    flat = place[sets.flat]
+    of = sets.of[flat >= 0]
     flat = flat[flat >= 0]
     d, n = len(chosen), len(y)
     extra = np.column_stack([earlier, np.ones(n)])
@@ -115,35 +151,29 @@ def fit_linear(sets: list[list[int]], names: list[str], earlier: np.ndarray, y:
         seen_v += gv * gv
         w -= 0.5 * gw / np.sqrt(seen_w)
         v -= 0.5 * gv / np.sqrt(seen_v)
-    return Linear({names[c]: float(x) for c, x in zip(chosen, w, strict=True)}, v[:-1].tolist(), float(v[-1]))
+    return Linear({int(sets.keys[c]): float(x) for c, x in zip(chosen, w, strict=True)}, v[:-1].tolist(), float(v[-1]))
 
 
-def _predict(model: Linear, sets: list[list[int]], names: list[str], earlier: np.ndarray) -> np.ndarray:
-    w = np.array([model.weights.get(n, 0.0) for n in names])
-    sums = np.array([w[s].sum() if s else 0.0 for s in sets]) if sets else np.zeros(0)
-    return _sigmoid(sums + earlier @ np.array(model.earlier) + model.intercept)
+def _predict(model: Linear, sets: _Sets, earlier: np.ndarray) -> np.ndarray:
+    w = np.fromiter((model.weights.get(int(k), 0.0) for k in sets.keys), float, len(sets.keys))
+    return _sigmoid(np.bincount(sets.of, w[sets.flat], minlength=sets.n) + earlier @ np.array(model.earlier) + model.intercept)
 
 
 def fit_chain(texts: list[str], labels: np.ndarray, weight: np.ndarray, folds: int = FOLDS) -> list[Linear]:
     """One model per column of ``labels`` (1, 0, or nan where unknown), in order."""
-    found = [features(t) for t in texts]
-    docs_with = Counter(f for s in found for f in s)
-    names = sorted(f for f, n in docs_with.items() if n >= LEAST_DOCS)
-    at = {f: k for k, f in enumerate(names)}
-    sets = [sorted(at[f] for f in s if f in at) for s in found]
+    sets = _gathered(texts)
     fold = np.arange(len(texts)) % folds
     earlier = np.zeros((len(texts), 0))
     models = []
-    pick = lambda keep: [s for s, k in zip(sets, keep, strict=True) if k]
     for c in range(labels.shape[1]):
         y, known = labels[:, c], ~np.isnan(labels[:, c])
-        models.append(fit_linear(pick(known), names, earlier[known], y[known], weight[known]))
+        models.append(fit_linear(sets.only(known), earlier[known], y[known], weight[known]))
         if c + 1 < labels.shape[1]:
             out = np.zeros(len(texts))
             for k in range(folds):
                 train = known & (fold != k)
-                part = fit_linear(pick(train), names, earlier[train], y[train], weight[train])
-                out[fold == k] = _predict(part, pick(fold == k), names, earlier[fold == k])
+                part = fit_linear(sets.only(train), earlier[train], y[train], weight[train])
+                out[fold == k] = _predict(part, sets.only(fold == k), earlier[fold == k])
             earlier = np.column_stack([earlier, out])
     return models
 
@@ -175,7 +205,7 @@ class Scorer:
     def __init__(self, models: list[Linear]):
         self.models = models
         self.names = set().union(*(m.weights for m in models))
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def __call__(self, text: str | None) -> list[float]:
         text = text or ""
