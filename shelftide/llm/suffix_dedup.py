@@ -31,8 +31,10 @@ from .shared import stored
 LENGTH = 400
 WINDOW = 200
 GRAM = 16
-HOT_GROUP = 20_000
-_CHUNK = 1 << 21
+HOT_GROUP = 2000
+#: Bytes of text, and contents of edges, that a task works on at a time.
+_CHUNK = 1 << 19
+_CONTENTS = 500
 
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -154,7 +156,7 @@ def _contexts(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
             out = []
             for text, asked in zip(_texts(b.column(0)), b.column(1).to_pylist(), strict=True):
                 out += [(r["k1"], r["ka"], r["kb"], r["n"], text[r["first"]:r["last"] + length]) for r in asked]
-                if len(out) > 20_000:
+                if len(out) > 5000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(),) * 4 + (pa.binary(),), strict=True)], names)
                     out = []
             if out:
@@ -208,11 +210,11 @@ def _group_matches(contexts: DataFrame, length: int) -> DataFrame:
                 rows = [np.append(r, b.column(k + 1).to_numpy()) for k, r in enumerate(rows)]
                 texts += b.column(4).to_pylist()
             whole = len(k1) if b is None else int(np.searchsorted(k1, k1[-1])) if len(k1) else 0
-            if whole and (b is None or whole >= 2000):
+            if whole and (b is None or whole >= _CONTENTS):
                 # Pieces of whole groups, so that the suffixes of one piece fit in memory.
                 at = 0
                 while at < whole:
-                    to = min(at + 2000, whole)
+                    to = min(at + _CONTENTS, whole)
                     to = whole if to == whole else int(np.searchsorted(k1[:whole], k1[to - 1], side="right"))
                     if (out := matched([r[at:to] for r in rows], texts[at:to], hashes)) is not None:
                         yield out
@@ -228,9 +230,9 @@ def _counted_matches(contexts: DataFrame, length: int) -> DataFrame:
         hashes = (Hashes(_SEEDS[0]), Hashes(_SEEDS[1]))
         for b in batches:
             texts = b.column(3).to_pylist()
-            for k in range(0, len(texts), 1000):
-                of, start, x, y = _suffix_keys(texts[k:k + 1000], hashes, length)
-                ka, kb, n = (b.column(c).to_numpy()[k:k + 1000][of] for c in range(3))
+            for k in range(0, len(texts), _CONTENTS):
+                of, start, x, y = _suffix_keys(texts[k:k + _CONTENTS], hashes, length)
+                ka, kb, n = (b.column(c).to_numpy()[k:k + _CONTENTS][of] for c in range(3))
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ka, kb, n, start, x.view(np.int64), y.view(np.int64))], ["ka", "kb", "n", "at", "x", "y"])
 
     grams = contexts.select("ka", "kb", "n", "bytes").mapInArrow(keys, "ka long, kb long, n long, at long, x long, y long")
