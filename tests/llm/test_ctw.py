@@ -122,6 +122,19 @@ def test_rare_words_are_joined(spark, monkeypatch, sf_dir):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("frequent", [1, 1 << 22])
+def test_scores_use_all_nodes(spark, monkeypatch, frequent):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(ctw, "FREQUENT_STRINGS", frequent)
+    monkeypatch.setattr(ctw, "SLOT_BITS", 4, raising=False)
+    log = brute([ctw.coded(t.encode())[1] for k, t in enumerate(texts) if not ctw.held_out(k)], 4)
+    for r in ctw.score_documents(frame, 4).collect():
+        padded = b"\n" * 4 + ctw.coded(texts[r["doc_id"]].encode())[1]
+        assert r["score"] == pytest.approx(sum(log(padded[k - 4:k], padded[k]) for k in range(4, len(padded))) / math.log(10), abs=1e-6)
+
+
 def test_edges(spark):
     rows = ctw.score_documents(cases.docs(spark), 3).collect()
     assert len(rows) == len(cases.ROWS) and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
