@@ -6,8 +6,10 @@ or stays by a random bit of (step, word), turns edit distance into Hamming dista
 are keys of a hash table; ``SAMPLES`` samples of each of several walks are tried. Windows are as long as the shorter half of
 the items they stand for: items are sorted into classes by length, documents are cut into windows side by side, and the
 table holds the walk of the item from each of its words, so whatever the alignment, some window begins inside the passage at a
-word of the item. The number of walks is the least that finds ``RECALL`` of items with the most edits allowed, planted into
-random text. Every candidate is settled by the exact edit distance between the item and the best passage (Myers).
+word of the item. The number of walks of a class is the least that finds ``RECALL`` of its items with the most edits allowed,
+planted into random text. A class that ``MOST_WALKS`` walks do not bring there is looked up exactly instead: an item is cut into
+one piece more than it may have edits, so some piece stands in the passage unchanged. Every candidate is settled by the exact
+edit distance between the item and the best passage (Myers).
 
 Items come to the tasks in blocks of at most ``BLOCK_CHARS`` characters, each against all documents.
 
@@ -17,7 +19,6 @@ equal text are each reported. An empty table on either side gives an empty resul
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,7 @@ RECALL = 0.99
 SAMPLES = 8
 SAMPLED_STEPS = 6
 MOST_WALKS = 12
+TRIALS = 400
 BLOCK_CHARS = 16_000_000
 _CHUNK_CHARS = 2_000_000
 _FILTER_BITS = 16
@@ -90,16 +92,30 @@ class _Class:
     """Items of one range of lengths: window, and per walk and sample the steps, keys, and the items' places they mean."""
 
     window: int
-    steps: np.ndarray
+    steps: list[np.ndarray]
     keys: list[list[np.ndarray]]
     places: list[list[np.ndarray]]
+    #: In place of walks: per length of pieces their keys, and the items' places they mean.
+    pieces: dict[int, tuple[np.ndarray, np.ndarray]] | None = None
+    reached: float = 0.0
 
     def filters(self) -> list[list[np.ndarray]]:
         """Per walk and sample, which leading bits any key has; made where they are used."""
-        out = [[np.zeros(1 << _FILTER_BITS, bool) for _ in keys] for keys in self.keys]
-        for seen, key in zip(itertools.chain(*out), itertools.chain(*self.keys), strict=True):
-            seen[key >> np.uint64(64 - _FILTER_BITS)] = True
-        return out
+        return [[_leading(key) for key in keys] for keys in self.keys]
+
+
+def _leading(keys: np.ndarray) -> np.ndarray:
+    seen = np.zeros(1 << _FILTER_BITS, bool)
+    seen[keys >> np.uint64(64 - _FILTER_BITS)] = True
+    return seen
+
+
+def _looked_up(key: np.ndarray, table: np.ndarray, places: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in ``key`` and the places of equal keys of the table, one row per pair."""
+    good = np.flatnonzero(seen[key >> np.uint64(64 - _FILTER_BITS)])
+    lo, hi = np.searchsorted(table, key[good]), np.searchsorted(table, key[good], side="right")
+    row = np.repeat(np.arange(len(good)), hi - lo)
+    return good[row], places[lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
 
 
 def _key(symbols: list[np.ndarray]) -> np.ndarray:
@@ -126,16 +142,42 @@ class Index:
         self.by_class: dict[int, list[int]] = {}
         for k, t in enumerate(self.tokens):
             self.by_class.setdefault(len(t).bit_length() - 1, []).append(k)
-        self.seed, self.classes = seed, []
-        self.walks, self.reached = 0, 0.0
-        self._ready, self._filters = 0, []
-        while self.walks < MOST_WALKS and self.reached < recall:
-            self.walks += 1
-            self.classes = [self._grown(c, members) for c, members in enumerate(sorted(self.by_class.items()))]
-            self.reached = self._measured()
+        self.seed = seed
+        self._filters: list | None = None
+        self.classes = [self._settled(length, members, recall) for length, members in sorted(self.by_class.items())]
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_ready": 0, "_filters": []}
+        return self.__dict__ | {"_filters": None}
+
+    def _settled(self, length: int, members: list[int], recall: float) -> _Class:
+        """The class with as many walks as ``recall`` takes, or with pieces."""
+        c = _Class(max(1, (1 << length) // 2), [], [], [])
+        wanted, flat, starts, sizes = self._trials(length, members, c.window)
+        missed = np.ones(len(wanted), bool)
+        while len(c.keys) < MOST_WALKS and c.reached < recall:
+            self._grow(c, length, members)
+            got = self._by_walk(c, length, len(c.keys) - 1, [_leading(k) for k in c.keys[-1]], flat, starts, sizes)
+            missed[got[got[:, 1] == wanted[got[:, 0]], 0]] = False
+            c.reached = 1 - missed.mean()
+        return c if c.reached >= recall else _Class(c.window, [], [], [], self._pieces(members), 1.0)
+
+    def _pieces(self, members: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        rows: dict[int, list[tuple[int, int]]] = {}
+        for k in members:
+            n = len(self.tokens[k])
+            cuts = most_edits(n, self.edits) + 1
+            # Beyond as many pieces as words any passage is near enough; single words are the least.
+            for p in range(min(cuts, n)):
+                at, end = n * p // min(cuts, n), n * (p + 1) // min(cuts, n)
+                rows.setdefault(end - at, []).append((k, at))
+        out = {}
+        for size, found in rows.items():
+            place = np.array(found)
+            words = np.array([self.tokens[k][at:at + size] for k, at in found])
+            key = _key(list(words.T))
+            order = np.argsort(key, kind="stable")
+            out[size] = key[order], place[order]
+        return out
 
     def _rng(self, *salt: int) -> np.random.Generator:
         return np.random.default_rng([self.seed, *salt])
@@ -148,10 +190,9 @@ class Index:
     def _steps(least: int) -> int:
         return 2 * max(1, least // 2)
 
-    def _grown(self, nth: int, group: tuple[int, list[int]]) -> _Class:
-        length, members = group
-        walk = self.walks - 1
-        old = self.classes[nth] if walk else _Class(max(1, (1 << length) // 2), np.zeros((0, 0, 0), int), [], [])
+    def _grow(self, c: _Class, length: int, members: list[int]) -> None:
+        """Adds a walk."""
+        walk = len(c.keys)
         steps = self._steps(1 << length)
         drawn = self._rng(length, walk, 2)
         chosen = np.array([np.sort(drawn.choice(steps, min(SAMPLED_STEPS, steps), replace=False)) for _ in range(SAMPLES)])
@@ -159,8 +200,8 @@ class Index:
         sizes = np.array([len(self.tokens[k]) for k in members])
         ends = np.cumsum(sizes + 1) - 1
         # From each word of an item at which a whole window still fits.
-        offsets = np.concatenate([np.arange(s - old.window + 1) for s in sizes])
-        of = np.repeat(np.arange(len(members)), sizes - old.window + 1)
+        offsets = np.concatenate([np.arange(s - c.window + 1) for s in sizes])
+        of = np.repeat(np.arange(len(members)), sizes - c.window + 1)
         at = (ends - sizes)[of] + offsets
         walked = self._walked(flat, at, ends[of], self._bits(length, walk), chosen)
         keys, places = [], []
@@ -171,8 +212,9 @@ class Index:
             order = np.argsort(key, kind="stable")
             keys.append(key[order])
             places.append(place[good][order])
-        all_steps = np.concatenate([old.steps.reshape(walk, SAMPLES, -1), chosen[None]]) if walk else chosen[None]
-        return _Class(old.window, all_steps, [*old.keys, keys], [*old.places, places])
+        c.steps.append(chosen)
+        c.keys.append(keys)
+        c.places.append(places)
 
     @staticmethod
     def _walked(flat: np.ndarray, at: np.ndarray, end: np.ndarray, bits: np.ndarray, chosen: np.ndarray) -> list[list[np.ndarray]]:
@@ -187,53 +229,77 @@ class Index:
             pos = np.minimum(pos + bits[j][symbol], end)
         return [[wanted[j] for j in row] for row in chosen.tolist()]
 
+    def _by_walk(self, c: _Class, length: int, walk: int, filters: list[np.ndarray], flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        windows = -(-sizes // c.window)
+        of = np.repeat(np.arange(len(sizes)), windows)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at, end = starts[of] + nth * c.window, (starts + sizes)[of]
+        found = []
+        for s, symbols in enumerate(self._walked(flat, at, end, self._bits(length, walk), c.steps[walk])):
+            good = np.flatnonzero(np.logical_and.reduce([x > 0 for x in symbols]))
+            row, pick = _looked_up(_key([x[good] for x in symbols]), c.keys[walk][s], c.places[walk][s], filters[s])
+            g = good[row]
+            found.append(np.column_stack([of[g], pick[:, 0], at[g] - starts[of[g]] - pick[:, 1]]))
+        return np.concatenate(found)
+
+    @staticmethod
+    def _by_pieces(c: _Class, filters: dict[int, np.ndarray], flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        at = np.arange(len(of)) + of
+        found = [np.zeros((0, 3), np.int64)]
+        for size, (table, places) in c.pieces.items():
+            # A window past the end of a text meets its -1.
+            good = at[at + size <= len(flat)]
+            good = good[np.logical_and.reduce([flat[good + k] > 0 for k in range(size)])]
+            row, pick = _looked_up(_key([flat[good + k] for k in range(size)]), table, places, filters[size])
+            doc = np.searchsorted(starts, good[row], side="right") - 1
+            found.append(np.column_stack([doc, pick[:, 0], good[row] - starts[doc] - pick[:, 1]]))
+        return np.concatenate(found)
+
     def candidates(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Rows of (document, item, where the item would begin). Each document ends with -1 in ``flat``."""
-        found = []
-        if self._ready != self.walks:
-            self._ready, self._filters = self.walks, [c.filters() for c in self.classes]
+        found = [np.zeros((0, 3), np.int64)]
+        if self._filters is None:
+            self._filters = [c.filters() if c.pieces is None else {n: _leading(k) for n, (k, _) in c.pieces.items()} for c in self.classes]
         for c, filters, (length, _) in zip(self.classes, self._filters, sorted(self.by_class.items()), strict=True):
-            windows = -(-sizes // c.window)
-            of = np.repeat(np.arange(len(sizes)), windows)
-            nth = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-            at, end = starts[of] + nth * c.window, (starts + sizes)[of]
-            for walk in range(self.walks):
-                for s, symbols in enumerate(self._walked(flat, at, end, self._bits(length, walk), c.steps[walk])):
-                    good = np.flatnonzero(np.logical_and.reduce([x > 0 for x in symbols]))
-                    key = _key([x[good] for x in symbols])
-                    hit = filters[walk][s][key >> np.uint64(64 - _FILTER_BITS)]
-                    good, key = good[hit], key[hit]
-                    table, places = c.keys[walk][s], c.places[walk][s]
-                    lo, hi = np.searchsorted(table, key), np.searchsorted(table, key, side="right")
-                    row = np.repeat(np.arange(len(key)), hi - lo)
-                    pick = places[lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
-                    g = good[row]
-                    found.append(np.column_stack([of[g], pick[:, 0], at[g] - starts[of[g]] - pick[:, 1]]))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-
-    def _measured(self) -> float:
-        """Share of items that are found in random text after the most edits allowed."""
-        rng = self._rng(3)
-        texts, wanted = [], []
-        for k in rng.permutation(len(self.tokens))[:400]:
+            if c.pieces is not None:
+                found.append(self._by_pieces(c, filters, flat, starts, sizes))
+            for walk in range(len(c.keys)):
+                found.append(self._by_walk(c, length, walk, filters[walk], flat, starts, sizes))
+        return np.unique(np.concatenate(found), axis=0)
+
+    def _trials(self, length: int, members: list[int], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Items of the class in random text after the most edits allowed, at different words: the items, and the texts as for
+        :meth:`candidates`."""
+        rng = self._rng(length, 3)
+        texts, wanted = [], np.resize(rng.permutation(members), TRIALS)
+        for k in wanted:
             t = self.tokens[k].tolist()
-            for _ in range(most_edits(len(t), self.edits)):
-                at, what = int(rng.integers(len(t))), rng.integers(3)
+            for at in sorted(rng.choice(len(t), min(most_edits(len(t), self.edits), len(t)), replace=False).tolist(), reverse=True):
+                what = rng.integers(3)
                 if what == 0:
                     t[at] = 0
                 elif what == 1:
                     t.insert(at, 0)
                 elif len(t) > 1:
                     del t[at]
-            texts.append(np.array([0] * int(rng.integers(40)) + t + [0] * 40, np.int32))
-            wanted.append(k)
-        if not texts:
-            return 1.0
-        sizes = np.array([len(t) for t in texts])
-        flat = np.concatenate([np.append(t, -1) for t in texts])
-        got = self.candidates(flat, np.cumsum(sizes + 1) - sizes - 1, sizes)
-        pairs = set(map(tuple, got[:, :2].tolist()))
-        return sum((d, k) in pairs for d, k in enumerate(wanted)) / len(wanted)
+            texts.append(np.array([0] * int(rng.integers(max(40, 2 * window))) + t + [0] * 40 + [-1], np.int32))
+        sizes = np.array([len(t) - 1 for t in texts])
+        return wanted, np.concatenate(texts), np.cumsum(sizes + 1) - sizes - 1, sizes
+
+    def _spans(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Candidates as (document, item, first and last place where the item would begin); those of pieces are merged where they overlap."""
+        exact = {k for c, (_, members) in zip(self.classes, sorted(self.by_class.items()), strict=True) if c.pieces is not None for k in members}
+        held = None
+        for d, k, at in self.candidates(flat, starts, sizes).tolist():
+            if held and held[:2] == (d, k) and k in exact and at <= held[3] + len(self.tokens[k]):
+                held = (d, k, held[2], at)
+                continue
+            if held:
+                yield held
+            held = (d, k, at, at)
+        if held:
+            yield held
 
     def hits(self, texts: list[list[int]]) -> list[tuple[int, int, int, int, int]]:
         """Verified ``(document, item, distance, start, end)``, the best passage of each pair."""
@@ -242,10 +308,10 @@ class Index:
         lists = [(t, set(t)) for t in map(np.ndarray.tolist, self.tokens)]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         beyond: dict[tuple[int, int], int] = {}
-        for d, k, at in self.candidates(flat, np.cumsum(sizes + 1) - sizes - 1, sizes).tolist():
+        for d, k, first, last in self._spans(flat, np.cumsum(sizes + 1) - sizes - 1, sizes):
             item, own = lists[k]
             most = most_edits(len(item), self.edits)
-            lo, hi = max(0, at - most), min(int(sizes[d]), at + len(item) + most)
+            lo, hi = max(0, first - most), min(int(sizes[d]), last + len(item) + most)
             if beyond.get((d, k), -1) >= hi:
                 continue
             beyond[d, k] = hi

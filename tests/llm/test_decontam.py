@@ -64,6 +64,46 @@ def test_recall_against_brute_force(spark):
     assert clean == set(range(len(docs))) - {d for d, _ in got}
 
 
+def test_recall_of_each_length(monkeypatch):
+    """Many short items do not hide the loss of a few long ones."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(5000)]
+    items = [[rng.choice(words) for _ in range(n)] for n in [12] * 150 + [70] * 20 + [400] * 20]
+    index = decontam.Index(list(enumerate(items)))
+    texts, wanted = [], []
+    for k in [*range(150), *list(range(150, 190)) * 4]:
+        t = list(items[k])
+        for at in sorted(rng.sample(range(len(t)), decontam.most_edits(len(t))), reverse=True):
+            rng.choice([lambda: t.__setitem__(at, "zz"), lambda: t.insert(at, "zz"), lambda: t.pop(at)])()
+        t = ["zz"] * rng.randint(0, 400) + t + ["zz"] * 30
+        texts.append([index.vocabulary.get(w, 0) for w in t])
+        wanted.append((k, decontam.passage_distance(items[k], t)[0]))
+    got = {(d, k): distance for d, k, distance, _, _ in index.hits(texts)}
+    for n in (12, 70, 400):
+        mine = [(d, k, distance) for d, (k, distance) in enumerate(wanted) if len(items[k]) == n]
+        assert all(got.get((d, k), distance) == distance for d, k, distance in mine)
+        assert sum((d, k) in got for d, k, _ in mine) >= 0.975 * len(mine), n
+    assert all(c.reached >= decontam.RECALL for c in index.classes)
+    monkeypatch.setattr(decontam, "MOST_WALKS", 0)
+    exact = decontam.Index(list(enumerate(items)))
+    assert {(d, k) for d, k, *_ in exact.hits(texts)} >= {(d, k) for d, (k, _) in enumerate(wanted)}
+
+
+def test_given_tables_equal_brute_force(spark, sf_dir):
+    read = lambda name, key: {r[0]: decontam.words_of(r[1]) for r in spark.read.parquet(f"{sf_dir}/{name}.parquet").select(key, "text").collect()}
+    docs, items = read("documents", "doc_id"), read("benchmark", "item_id")
+    want = {}
+    for k, item in items.items():
+        own, most = set(item), decontam.most_edits(len(item))
+        for d, t in docs.items():
+            if item and sum(w in own for w in t) >= len(item) - most and decontam.passage_distance(item, t)[0] <= most:
+                want.setdefault(len(item).bit_length(), set()).add((d, k))
+    got = {tuple(r) for r in queries.op3_benchmark_decontamination(spark, sf_dir).select("doc_id", "item_id").collect()}
+    assert want and got <= set().union(*want.values())
+    for pairs in want.values():
+        assert len(pairs & got) >= 0.99 * len(pairs)
+
+
 def test_blocks_give_the_same(spark, sf_dir, monkeypatch):
     want = sorted(map(tuple, queries.op3_benchmark_decontamination(spark, sf_dir).select("doc_id", "item_id", "distance").collect()))
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 4000)
