@@ -29,11 +29,11 @@ def _eval(spark, sf_dir):
     return features.features_model(inputs.evaluation(spark, sf_dir))
 
 
-def _coefficients(**options):
-    """Fit on the same hour of last week and report the coefficients."""
+def _coefficients(names=None, **options):
+    """Fit on the same hour of last week, or the features of ``names()``, and report the coefficients."""
 
     def run(spark, sf_dir):
-        model = Linear(features=[WEEK], impute="constant", **options).fit(_train(spark, sf_dir))
+        model = Linear(features=names() if names else [WEEK], impute="constant", **options).fit(_train(spark, sf_dir))
         return _rounded(model.coefficient_rows(spark))
 
     return run
@@ -53,6 +53,10 @@ def cross_validate_summary(spark, sf_dir):
     return _rounded(cross_validation_summary(scores))
 
 
+def cross_validate_full(spark, sf_dir):
+    return _rounded(Linear(features=features.model_feature_names(), impute="constant").cross_validate(_train(spark, sf_dir), 5))
+
+
 def _tree(kind, **options):
     def run(spark, sf_dir):
         model = Tree(features=features.model_feature_names(), kind=kind, impute="constant", **options).fit(_train(spark, sf_dir))
@@ -80,8 +84,7 @@ def stump_importance(spark, sf_dir):
 
 
 def _forest(spark, sf_dir):
-    names = features.model_feature_names()
-    return Tree(features=names, kind="random_forest", num_trees=10, max_depth=6, impute="constant").fit(_train(spark, sf_dir))
+    return Tree(features=features.model_feature_names(), kind="random_forest", impute="constant").fit(_train(spark, sf_dir))
 
 
 def stacked(spark, sf_dir):
@@ -162,13 +165,18 @@ QUERIES = {
     "linear_ridge": _coefficients(kind="ridge", alpha=1.0),
     "linear_lasso": _coefficients(kind="lasso", alpha=1.0),
     "linear_elasticnet": _coefficients(kind="elasticnet", alpha=1.0),
+    "linear_ols_full": _coefficients(features.model_feature_names, kind="linear"),
+    "linear_ridge_full": _coefficients(features.model_feature_names, kind="ridge", alpha=1.0),
+    "linear_lasso_full": _coefficients(features.model_feature_names, kind="lasso", alpha=1.0),
+    "linear_elasticnet_full": _coefficients(features.model_feature_names, kind="elasticnet", alpha=1.0),
+    "cross_validate_full": cross_validate_full,
     "coefficients": two_coefficients,
     "cross_validate": cross_validate,
     "cross_validate_summary": cross_validate_summary,
     "tree_decision": _tree("decision_tree"),
-    "tree_random_forest": _tree("random_forest", num_trees=10, max_depth=8),
-    "tree_gradient_boosting": _tree("gradient_boosting", num_trees=5, max_depth=4),
-    "tree_boosted_colsample": _tree("boosted_colsample", num_trees=5, max_depth=4),
+    "tree_random_forest": _tree("random_forest"),
+    "tree_gradient_boosting": _tree("gradient_boosting"),
+    "tree_boosted_colsample": _tree("boosted_colsample"),
     "stump_decision": _stump_forecast("decision_tree"),
     "stump_gradient_boosting": _stump_forecast("gradient_boosting", num_trees=1, subsample=1.0),
     "stump_boosted_colsample": _stump_forecast("boosted_colsample", num_trees=1, subsample=1.0),
