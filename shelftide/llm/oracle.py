@@ -66,4 +66,47 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id"""
 
 
-ORACLE = {"op6_quality_rules": _quality(), "op8_line_dedup": _lines()}
+def _crc32(text: str) -> str:
+    """CRC-32 (polynomial 0xEDB88320, bits reversed) of ASCII text, bit by bit."""
+    bits = "list_reduce(range(8), lambda r, k: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END, xor(c, b))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: {bits}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _leaf(n_chars: str) -> str:
+    texts = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in texts) + ")"
+
+
+def _merkle() -> str:
+    """The trees level by level, then every leaf's siblings by its rank at each level."""
+    hashed = "sha256(string_agg(h, '' ORDER BY i))"
+    tree = """{t}(k, lvl, i, h, n) AS (SELECT k, 0, i, h, n FROM {base}
+  UNION ALL SELECT k, lvl + 1, i // 2, """ + hashed + """, max((n + 1) // 2) FROM {t} WHERE n > 1 GROUP BY k, lvl, i // 2)"""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('.' || lang, '') AS k, {_leaf('n_chars')} AS h,
+    CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_leaf('n_chars + 1')} ELSE {_leaf('n_chars')} END AS now FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM d),
+{tree.format(t='low', base='l')},
+sub AS (SELECT k AS g, h, row_number() OVER (ORDER BY encode(k)) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+subs AS (SELECT '' AS k, * FROM sub),
+{tree.format(t='high', base='subs')},
+steps AS (SELECT l.doc_id, l.h AS leaf, l.k, l.i AS rk, low.lvl AS lvl, s.h AS sib, (l.i >> low.lvl) % 2 AS bit
+    FROM l JOIN low ON low.k = l.k AND low.i = l.i >> low.lvl AND low.n > 1
+    LEFT JOIN low s ON s.k = l.k AND s.lvl = low.lvl AND s.i = xor(low.i, 1)
+  UNION ALL SELECT l.doc_id, l.h, l.k, l.i, 1000 + high.lvl, s.h, (sub.i >> high.lvl) % 2
+    FROM l JOIN sub ON sub.g = l.k JOIN high ON high.i = sub.i >> high.lvl AND high.n > 1
+    LEFT JOIN high s ON s.lvl = high.lvl AND s.i = xor(high.i, 1)),
+p AS (SELECT k, rk, list({{'sib': sib, 'bit': bit}} ORDER BY lvl) AS path FROM steps GROUP BY ALL),
+f AS (SELECT l.*, coalesce(path, []) AS path, array_to_string(list_transform(list_filter(coalesce(path, []), lambda x: x.sib IS NOT NULL), lambda x: x.sib), '') AS said
+  FROM l LEFT JOIN p ON p.k = l.k AND p.rk = l.i),
+up(k, i, path, h, j) AS (SELECT k, i, path, now, 1 FROM f
+  UNION ALL SELECT k, i, path, sha256(CASE WHEN path[j].sib IS NULL THEN h WHEN path[j].bit = 1 THEN path[j].sib || h ELSE h || path[j].sib END), j + 1
+  FROM up WHERE j <= len(path)),
+folded AS (SELECT k, i, h AS folded_root FROM up WHERE j = len(path) + 1),
+root AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT f.doc_id, f.h AS leaf, sub.h AS subroot, root, sha256(said) AS proof_sha256, folded_root, CAST(len(path) AS BIGINT) AS n_levels, folded_root = root AS verified
+FROM f JOIN sub ON sub.g = f.k JOIN folded ON folded.k = f.k AND folded.i = f.i CROSS JOIN root"""
+
+
+ORACLE = {"op6_quality_rules": _quality(), "op8_line_dedup": _lines(), "op11_merkle_manifest": _merkle()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, line_dedup, packing, quality, secrets, simhash, suffix_dedup, toxicity
+from . import chat, ctw, decontam, line_dedup, merkle, packing, quality, secrets, simhash, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,11 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.col("junk").alias("p_junk"), F.col("toxic").alias("p_toxic"), (F.col("toxic") >= 0.5).alias("toxic"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "n_levels")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -90,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_chain": op10_toxicity_chain,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
