@@ -109,4 +109,30 @@ SELECT f.doc_id, f.h AS leaf, sub.h AS subroot, root, sha256(said) AS proof_sha2
 FROM f JOIN sub ON sub.g = f.k JOIN folded ON folded.k = f.k AND folded.i = f.i CROSS JOIN root"""
 
 
-ORACLE = {"op6_quality_rules": _quality(), "op8_line_dedup": _lines(), "op11_merkle_manifest": _merkle()}
+def _trie() -> str:
+    return f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, {_crc32('CAST(conv_id AS VARCHAR)')} % 6 AS h, conv_id - conv_id % 100 AS base FROM t),
+r AS (SELECT c.conv_id, 0 AS part, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS d FROM r),
+k AS (SELECT conv_id, d, length(text) AS chars, sha256(CAST(to_json(list([role, text]) OVER w) AS VARCHAR)) AS key
+  FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+m AS (SELECT conv_id, 0 AS d, 0 AS chars, '' AS key FROM c UNION ALL SELECT conv_id, d, chars, key FROM k),
+p AS (SELECT *, lag(key) OVER w AS parent, lead(d) OVER w IS NULL AS ends FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+n AS (SELECT d, key, parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids FROM p GROUP BY d, key, parent),
+kids AS (SELECT d - 1 AS d, parent AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+below AS (SELECT DISTINCT u.d AS top_d, u.key AS top, n.d, n.key, (n.n_convs - 1) * n.chars AS saved, n_children IS NULL AS leaf
+  FROM n JOIN p l ON l.conv_id = n.conv_id AND l.d = n.d JOIN p u ON u.conv_id = l.conv_id AND u.d <= n.d
+  LEFT JOIN kids ON kids.d = n.d AND kids.key = n.key),
+sums AS (SELECT top_d, top, sum(saved) AS saved, count(*) FILTER (leaf) AS leaves FROM below GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(kids.n_children, 0) AS BIGINT) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(n.ids) AS ends_sha256
+FROM n JOIN sums ON top_d = n.d AND top = n.key LEFT JOIN kids ON kids.d = n.d AND kids.key = n.key
+LEFT JOIN n u ON u.d = n.d - 1 AND u.key = n.parent"""
+
+
+ORACLE = {"op6_quality_rules": _quality(), "op8_line_dedup": _lines(), "op11_merkle_manifest": _merkle(), "op13_conversation_trie": _trie()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, line_dedup, merkle, packing, quality, secrets, simhash, suffix_dedup, toxicity
+from . import chat, ctw, decontam, line_dedup, merkle, packing, quality, secrets, simhash, suffix_dedup, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "n_levels")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.col("conv_id")
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"), F.crc32(own.cast("string")) % 6, own - own % 100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -96,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_chain": op10_toxicity_chain,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_conversation_trie": op13_conversation_trie,
 }

@@ -42,15 +42,16 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
-def ranked(df: DataFrame, key: str, order: list[Column], drop: list[str] | None = None) -> DataFrame:
+def ranked(df: DataFrame, key: str, order: list[Column], drop: list[str] | None = None, finer: list[Column] | None = None) -> DataFrame:
     """``df`` with ``rank`` (from 0) of each row among those of its ``key``, and ``total``, the rows of that key.
 
     Rows are dealt out by ranges of (key, order), so a key with most rows still fills many tasks, and a row's rank is its
-    place in its task plus the rows of its key in earlier tasks. ``key`` holds no null; ``order`` puts nulls first. Columns in
-    ``drop`` serve the order only. Rows that ``order`` can't tell apart take neighbouring ranks.
+    place in its task plus the rows of its key in earlier tasks. ``key`` holds no null; ``order`` puts nulls first. ``finer``
+    orders rows that ``order`` can't tell apart, inside tasks only; for long texts, whose samples the driver should not see.
+    Columns in ``drop`` serve the order only. Rows equal in all this take neighbouring ranks.
     """
     along = [F.col(key), *order]
-    placed = df.repartitionByRange(*along).sortWithinPartitions(*along).withColumn("__at", F.monotonically_increasing_id())
+    placed = df.repartitionByRange(*along).sortWithinPartitions(*along, *(finer or [])).withColumn("__at", F.monotonically_increasing_id())
     placed = stored(placed.drop(*(drop or []))).withColumn("__task", F.shiftright("__at", 33))
     parts = placed.groupBy(key, "__task").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
     one, along_tasks = Window.partitionBy(key), Window.partitionBy(key).orderBy("__task")
