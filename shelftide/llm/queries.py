@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, line_dedup, merkle, packing, quality, secrets, simhash, suffix_dedup, toxicity, trie
+from . import chat, ctw, decontam, line_dedup, merkle, packing, quality, secrets, simhash, subwords, suffix_dedup, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "n_levels")
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5, F.lit(-1))
+    scored = subwords.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), rest != 0)
+    return scored.select("doc_id", (rest == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.col("conv_id")
     return trie.prefix_trie(_table(spark, sf_dir, "conversations"), F.crc32(own.cast("string")) % 6, own - own % 100)
@@ -101,5 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_chain": op10_toxicity_chain,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_conversation_trie": op13_conversation_trie,
 }
