@@ -91,3 +91,27 @@ def pct(x: str = "stockout_flag") -> str:
 
 def share(x: str) -> str:
     return f"CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
+
+
+def solve(table: str, key: str, y: str, xs: tuple[str, ...], alpha: float = 0.0) -> list[str]:
+    """CTEs that end in ``solved`` (key, n, w0.., intercept, r2): normal equations per group, by Cholesky factors."""
+    k = len(xs)
+    known = " AND ".join(f"{x} IS NOT NULL" for x in (y, *xs))
+    aggs = [f"AVG({x}) AS m{i}, COVAR_POP({x}, {y}) AS b{i}" for i, x in enumerate(xs)]
+    aggs += [f"COVAR_POP({xs[i]}, {xs[j]}) + {alpha if i == j else 0}::DOUBLE / COUNT(*) AS a{i}_{j}" for i in range(k) for j in range(i + 1)]
+    out = [f"mo AS (SELECT {key}, COUNT(*) AS n, AVG({y}) AS my, VAR_POP({y}) AS vy, {', '.join(aggs)} FROM {table} WHERE {known} GROUP BY {key})"]
+    last = "mo"
+    for j in range(k):
+        below = [f"(a{i}_{j}{''.join(f' - l{i}_{q} * l{j}_{q}' for q in range(j))}) / l{j}_{j} AS l{i}_{j}" for i in range(j + 1, k)]
+        pivot = f"SQRT(a{j}_{j}{''.join(f' - l{j}_{q} * l{j}_{q}' for q in range(j))}) AS l{j}_{j}"
+        forward = f"(b{j}{''.join(f' - l{j}_{q} * z{q}' for q in range(j))}) / l{j}_{j} AS z{j}"
+        out += [f"p{j} AS (SELECT *, {pivot} FROM {last})", f"e{j} AS (SELECT *, {', '.join([*below, forward])} FROM p{j})"]
+        last = f"e{j}"
+    for j in reversed(range(k)):
+        back = f"(z{j}{''.join(f' - l{q}_{j} * w{q}' for q in range(j + 1, k))}) / l{j}_{j} AS w{j}"
+        out.append(f"back{j} AS (SELECT *, {back} FROM {last})")
+        last = f"back{j}"
+    base = "my" + "".join(f" - w{i} * m{i}" for i in range(k))
+    out.append(f"solved AS (SELECT {key}, n, {', '.join(f'w{i}' for i in range(k))}, {base} AS intercept, "
+               f"({' + '.join(f'w{i} * b{i}' for i in range(k))}) / vy AS r2 FROM {last})")
+    return out

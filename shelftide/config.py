@@ -18,6 +18,7 @@ STOCKOUT_LAG_MAX = 7
 WINDOWS = (6, 24, 168)
 SEASONAL_PERIODS = (24, 168)
 VELOCITY_WINDOW = 7
+HORIZONS = (1, 6, 24, 168)
 
 # Right-closed bins, as (upper bound, label).
 TEMP_BINS = ((10.0, "cold"), (25.0, "mild"), (None, "hot"))
