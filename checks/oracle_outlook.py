@@ -32,7 +32,43 @@ _FORECASTS = f"""future AS (SELECT o.*, intercept + {' + '.join(f'w{i} * {c}' fo
   FROM o JOIN solved s USING (horizon) WHERE origin IS NOT NULL AND dt >= {SPLIT})""", "f AS (" + " UNION ALL ".join(
     f"SELECT '{m}' AS model, horizon, {Y} AS y, {m} AS p FROM future WHERE {m} IS NOT NULL" for m in (*KNOWN, "drift", "direct")) + ")"
 
+_KEYS = "store_id, first_category_id, product_id"
+_OWN = "GREATEST(2 * {0}last - {0}before, 0)"
+
+
+def _part(whole: str, to: str, size: str, of: str) -> str:
+    down = lambda at: f"COALESCE(CAST({whole} AS HUGEINT) * ({at}) // NULLIF({of}, 0), 0)"
+    return f"{down(to)} - {down(f'{to} - {size}')}"
+
+
+_HIERARCHY = (
+    f"""wk AS (SELECT {_KEYS}, CAST(ROUND({Y} * 10000) AS BIGINT) AS u, CAST(date_diff('hour', {SPLIT}, dt) AS BIGINT) AS hh FROM sales
+      WHERE dt >= {SPLIT} - INTERVAL 336 HOUR AND dt < {SPLIT} + INTERVAL 168 HOUR)""",
+    f"""ws AS (SELECT {_KEYS}, {SPLIT} + to_hours(((hh % 168) + 168) % 168) AS dt, SUM(CASE WHEN hh >= 0 THEN u ELSE 0 END) AS actual,
+      SUM(CASE WHEN hh BETWEEN -168 AND -1 THEN u ELSE 0 END) AS last, SUM(CASE WHEN hh < -168 THEN u ELSE 0 END) AS before FROM wk GROUP BY ALL)""",
+    f"tt AS (SELECT dt, {_OWN.format('').replace('last', 'SUM(last)').replace('before', 'SUM(before)')} AS total FROM ws GROUP BY dt)",
+    "sz AS (SELECT store_id, product_id, SUM(last + before) AS size FROM ws GROUP BY 1, 2)",
+    "sp AS (SELECT *, SUM(size) OVER (PARTITION BY store_id ORDER BY product_id) AS upto, SUM(size) OVER (PARTITION BY store_id) AS of FROM sz)",
+    "st AS (SELECT store_id, ANY_VALUE(of) AS store FROM sp GROUP BY 1)",
+    "su AS (SELECT *, SUM(store) OVER (ORDER BY store_id) AS store_to, SUM(store) OVER () AS every FROM st)",
+    f"""da AS (SELECT ws.*, size, upto, of, {_OWN.format('')} AS bottom_up, {_part('total', 'store_to', 'store', 'every')} AS of_store
+      FROM ws JOIN tt USING (dt) JOIN sp USING (store_id, product_id) JOIN su USING (store_id))""",
+    f"db AS (SELECT *, {_part('of_store', 'upto', 'size', 'of')} AS top_down FROM da)",
+    f"""hi AS (SELECT CASE GROUPING(store_id) * 4 + GROUPING(first_category_id) * 2 + GROUPING(product_id) WHEN 7 THEN 'total' WHEN 3 THEN 'store'
+      WHEN 5 THEN 'category' WHEN 4 THEN 'product' WHEN 1 THEN 'store_category' ELSE 'store_product' END AS level, {_KEYS}, dt,
+      SUM(actual) AS actual, {_OWN.format('').replace('last', 'SUM(last)').replace('before', 'SUM(before)')} AS base, SUM(bottom_up) AS bottom_up,
+      SUM(top_down) AS top_down FROM db GROUP BY GROUPING SETS ((dt), (dt, store_id), (dt, first_category_id), (dt, first_category_id, product_id),
+        (dt, store_id, first_category_id), (dt, {_KEYS})))""",
+)
+_METHODS = ("base", "bottom_up", "top_down")
+
 ORACLE = {
+    "hierarchy_forecast": on_sales(
+        f"SELECT level, {_KEYS}, dt, " + ", ".join(f"CAST({c} AS DOUBLE) / 10000 AS {c}" for c in ("actual", *_METHODS)) + " FROM hi", *_HIERARCHY),
+    "hierarchy_metrics": on_sales(
+        "SELECT level, method, COUNT(*) AS n, ROUND(CAST(SUM(miss) AS DOUBLE) / COUNT(*) / 10000, 9) AS mae, "
+        "ROUND(CAST(SUM(miss) AS DOUBLE) / NULLIF(SUM(actual), 0), 9) AS wape FROM ms GROUP BY 1, 2",
+        *_HIERARCHY, "ms AS (" + " UNION ALL ".join(f"SELECT level, '{m}' AS method, actual, ABS(actual - {m}) AS miss FROM hi" for m in _METHODS) + ")"),
     "horizon_metrics": on_sales(
         """SELECT model, horizon, COUNT(*) AS n, ROUND(AVG(ABS(y - p)), 6) AS mae, ROUND(SQRT(AVG((y - p) * (y - p))), 6) AS rmse,
           ROUND(AVG(p - y), 6) AS bias FROM f GROUP BY 1, 2""", _MEANS, _ORIGINS, _PAST, *_WEIGHTS, *_FORECASTS),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelftide.plans import horizons
+from shelftide.plans import hierarchy, horizons
 from shelftide.sources.retail import SPLIT_AT
 
 from . import inputs
@@ -25,7 +25,22 @@ def horizon_weights(spark, sf_dir):
     return _rounded(horizons.direct_weights(past))
 
 
+def _hierarchy(spark, sf_dir):
+    return hierarchy.hierarchy_forecast(inputs.sales(spark, sf_dir), _split())
+
+
+def hierarchy_forecast(spark, sf_dir):
+    money = [(F.col(c).cast("double") / hierarchy.SCALE).alias(c) for c in ("actual", *hierarchy.METHODS)]
+    return _hierarchy(spark, sf_dir).select("level", "store_id", "first_category_id", "product_id", "dt", *money)
+
+
+def hierarchy_metrics(spark, sf_dir):
+    return _rounded(hierarchy.hierarchy_metrics(_hierarchy(spark, sf_dir)), 9)
+
+
 QUERIES = {
+    "hierarchy_forecast": hierarchy_forecast,
+    "hierarchy_metrics": hierarchy_metrics,
     "horizon_metrics": horizon_metrics,
     "horizon_weights": horizon_weights,
 }
