@@ -60,6 +60,15 @@ def _prior(stat: str, agg: str) -> str:
     return on_sales(f"SELECT {ROW}, {', '.join(cols)} FROM sales")
 
 
+def _trend(prior: bool) -> str:
+    cols = []
+    for w in WINDOWS:
+        over = f"OVER ({SER} ROWS BETWEEN {f'{w} PRECEDING AND 1 PRECEDING' if prior else f'{w - 1} PRECEDING AND CURRENT ROW'})"
+        slope = f"CASE WHEN COUNT({Y}) {over} >= {w if prior else 2} THEN ROUND(REGR_SLOPE({Y}, rn) {over}, 9) END"
+        cols.append(f"{slope} AS {Y}_{'roll' if prior else 'rolling'}_slope_{w}")
+    return on_sales(f"SELECT {ROW}, {', '.join(cols)} FROM pl", f"pl AS (SELECT *, CAST(ROW_NUMBER() OVER ({SER}) AS DOUBLE) AS rn FROM sales)")
+
+
 def _change(c: str, name: str) -> str:
     return f"ROUND(COALESCE({c} - LAG({c}) OVER ({SER}), 0), 9) AS {name}"
 
@@ -135,6 +144,8 @@ ORACLE = {
     "rolling_prior_max": _prior("max", f"MAX({Y})"),
     "rolling_prior_q25": _prior("q25", f"quantile_cont({Y}, 0.25)"),
     "rolling_prior_q75": _prior("q75", f"quantile_cont({Y}, 0.75)"),
+    "rolling_trend": _trend(True),
+    "rolling_trend_incl": _trend(False),
     "ewm_prior": on_sales(
         f"SELECT s.store_id, s.product_id, s.dt, " + ", ".join(f"ROUND(e.e{w}, 6) AS {Y}_ewm_{w}" for w in WINDOWS)
         + " FROM ser s LEFT JOIN ew e USING (store_id, product_id, rn)", _EWM_ROWS),

@@ -88,6 +88,8 @@ QUERIES = {
     "rolling_prior_max": _prior("max"),
     "rolling_prior_q25": _prior("q25"),
     "rolling_prior_q75": _prior("q75"),
+    "rolling_trend": _new(windows.rolling_trend, first=_series),
+    "rolling_trend_incl": _new(lambda d: windows.rolling_trend(d, prior=False), first=_series),
     "ewm_prior": _new(windows.ewm_prior, digits=6, first=_series),
     "holiday_adjacent": _new(windows.holiday_adjacent, first=lambda d: d.select(*ROW, "holiday_flag")),
     "weather_change": _new(windows.weather_change, first=lambda d: d.select(*ROW, "avg_temperature", "precpt")),

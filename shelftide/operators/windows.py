@@ -11,6 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,28 @@ def _window(parts, order):
     return Window.partitionBy(*parts).orderBy(*order)
 
 
+def per_series(df: DataFrame, parts: Sequence[str], order: Sequence[str | Column], inputs: Sequence[str], names: Sequence[str], fn) -> DataFrame:
+    """Add double columns ``names`` that ``fn(*inputs as float arrays, in order)`` gives for each group.
+
+    A group's rows travel as Arrow columns; only the inputs are turned into numbers, the rest is handed back as it came.
+    """
+    kept = df.columns
+    placed = df.withColumn("_seq", F.row_number().over(_window(parts, order)))
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+
+    def run(table: pa.Table) -> pa.Table:
+        seq = table.column("_seq").to_numpy()
+        if len(seq) > 1 and not (seq[1:] > seq[:-1]).all():
+            table = table.take(np.argsort(seq, kind="stable"))
+        found = fn(*[table.column(c).to_numpy(zero_copy_only=False).astype("float64") for c in inputs])
+        out = table.select(kept)
+        for n in names:
+            out = out.append_column(n, pa.array(found[n], pa.float64(), from_pandas=True))
+        return out
+
+    return placed.groupBy(*parts).applyInArrow(run, schema)
+
+
 # --- lags and differences ----------------------------------------------------
 
 def lag_columns(y: str, lags: Iterable[int], stock: str | None = None) -> Transform:
@@ -144,6 +167,15 @@ def _merged(a: Column, b: Column, stats: set[str]) -> dict[str, Column]:
     return out
 
 
+def _quantiles(stats: Iterable[str]) -> dict[str, float]:
+    return {s: 0.5 if s == "median" else float(s[1:]) / 100 for s in stats if s == "median" or s[0] == "q"}
+
+
+def _limits(stats: Sequence[str], hot: dict) -> dict:
+    """Quantiles hand whole series to one task, so shorter ones are cut."""
+    return {"hot_rows": PANDAS_ROWS, "block_rows": PANDAS_ROWS, **hot} if _quantiles(stats) else hot
+
+
 def rolling_columns(
     y: str,
     windows: Iterable[int],
@@ -164,14 +196,15 @@ def rolling_columns(
     into runs of W rows, and the frame is the end of one run merged with the start
     of the next: two running aggregates per row, whatever W is.
     """
-    quantiles = {s: 0.5 if s == "median" else float(s[1:]) / 100 for s in stats if s == "median" or s[0] == "q"}
+    quantiles = _quantiles(stats)
+    sizes = tuple(windows)
 
     def apply(df, parts, order):
         before = df.columns
         wanted: dict[str, Column] = {}
         helpers: list[str] = []
         w = _window(parts, order)
-        for size in windows:
+        for size in sizes:
             frame = w.rowsBetween(-size, -1) if prior else w.rowsBetween(-(size - 1), 0)
             value: dict[str, Column] = {}
             if size <= slide_up_to or not set(stats) - set(quantiles):
@@ -181,41 +214,122 @@ def rolling_columns(
             else:
                 df, value, made = _two_runs(df, y, parts, order, size, prior, set(stats))
                 helpers += made
-            if quantiles:
-                # One pass over the frame for all of its quantiles.
-                qs = F.percentile(F.col(y).cast("double"), F.array(*[F.lit(q) for q in quantiles.values()]))
-                held = f"_q_{size}"
-                df = df.withColumn(held, qs.over(frame))
-                helpers.append(held)
-                value |= {s: F.col(held)[i] for i, s in enumerate(quantiles)}
             for s in stats:
+                if s in quantiles:
+                    continue
                 out = value[s]
                 if prior:
                     out = F.when(value["n"] >= size, out)
                 elif s == "std":
                     out = F.coalesce(out, F.lit(0.0))
                 wanted[name.format(stat=s, w=size)] = out
-        return df.withColumns(wanted).select(*before, *wanted)
+        out = df.withColumns(wanted).select(*before, *wanted)
+        if not quantiles:
+            return out
+        names = [name.format(stat=s, w=size) for size in sizes for s in stats]
+        found = _rolling_quantiles(out, y, parts, order, sizes, quantiles, name, prior)
+        return found.select(*before, *names)
 
     return apply
 
 
-def _two_runs(df, y, parts, order, size, prior, stats):
-    pos, run, head, tail, back, ahead = (f"_{c}_{size}" for c in ("pos", "run", "head", "tail", "back", "ahead"))
+def _rolling_quantiles(df, y, parts, order, sizes, quantiles, name, prior):
+    """Order statistics of frames: each series keeps its frame sorted and puts one value in and takes one out per row."""
+    names = {(size, s): name.format(stat=s, w=size) for size in sizes for s in quantiles}
+
+    def run(values: np.ndarray) -> dict[str, np.ndarray]:
+        x = pd.Series(values)
+        x = x.shift(1) if prior else x
+        return {n: x.rolling(size, min_periods=size if prior else 1).quantile(quantiles[s]).to_numpy() for (size, s), n in names.items()}
+
+    return per_series(df, parts, order, [y], list(names.values()), run)
+
+
+def _runs(df, parts, order, size, prior, summary):
+    """The two summaries that make up each row's frame of ``size`` rows, and the names of the helper columns.
+
+    ``summary(frame, place)`` is a struct over a frame; ``place`` is the column of a row's place in its run.
+    """
+    pos, run, place, head, tail, back, ahead = (f"_{c}_{size}" for c in ("pos", "run", "place", "head", "tail", "back", "ahead"))
     whole = _window(parts, order)
-    df = df.withColumn(pos, F.row_number().over(whole) - 1).withColumn(run, F.floor(F.col(pos) / size))
+    df = df.withColumn(pos, F.row_number().over(whole) - 1)
+    df = df.withColumn(run, F.floor(F.col(pos) / size)).withColumn(place, F.pmod(pos, F.lit(size)))
     up = Window.partitionBy(*parts, run).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(*parts, run).orderBy(F.desc(pos)).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn(head, _summary_over(y, up, stats)).withColumn(tail, _summary_over(y, down, stats))
+    df = df.withColumn(head, summary(up, place)).withColumn(tail, summary(down, place))
     along = Window.partitionBy(*parts).orderBy(pos)
     # A frame that is exactly one run is covered by its start alone.
-    exact = F.col(pos) % size == (0 if prior else size - 1)
+    exact = F.col(place) == (0 if prior else size - 1)
     first = F.when(~exact, F.lag(tail, size if prior else size - 1).over(along))
     last = F.lag(head, 1).over(along) if prior else F.col(head)
     df = df.withColumn(back, first).withColumn(ahead, last)
-    return df, _merged(F.col(back), F.col(ahead), stats), [pos, run, head, tail, back, ahead]
+    return df, (F.col(back), F.col(ahead)), [pos, run, place, head, tail, back, ahead]
+
+
+def _two_runs(df, y, parts, order, size, prior, stats):
+    df, (back, ahead), helpers = _runs(df, parts, order, size, prior, lambda frame, _: _summary_over(y, frame, stats))
+    return df, _merged(back, ahead, stats), helpers
+
+
+# --- rolling trend -------------------------------------------------------------
+
+def _line_over(y: str, place: str, frame) -> Column:
+    """Mergeable co-moments of a frame against the place of its rows in their run; rows without a value don't count."""
+    c = F.col(y).cast("double")
+    x = F.when(c.isNotNull(), F.col(place))
+    sums = {"n": F.count(c), "x": F.sum(x), "xx": F.sum(x * x), "y": F.sum(c), "xy": F.sum(c * x)}
+    return F.struct(*[F.coalesce(f.over(frame), F.lit(0)).alias(n) for n, f in sums.items()])
 
 
+def _slope(a: Column, b: Column, shift: int) -> tuple[Column, Column]:
+    """Count and slope of two runs, the places of ``b`` starting ``shift`` rows after those of ``a``; either may be missing."""
+    def part(s: Column, name: str) -> Column:
+        return F.coalesce(s.getField(name), F.lit(0))
+
+    nb, bx, by = part(b, "n"), part(b, "x"), part(b, "y")
+    n, x, y = part(a, "n") + nb, part(a, "x") + bx + shift * nb, part(a, "y") + by
+    xx = part(a, "xx") + part(b, "xx") + 2 * shift * bx + shift * shift * nb
+    xy = part(a, "xy") + part(b, "xy") + shift * by
+    # Counts and places are whole numbers, so only the sums with y round.
+    return n, (n * xy - x * y) / F.nullif(n * xx - x * x, F.lit(0))
+
+
+def trend_columns(y: str, windows: Iterable[int], name: str, *, prior: bool) -> Transform:
+    """Slope of the least-squares line through the last W rows, per row, by the frames of :func:`rolling_columns`.
+
+    A frame is the end of one run of W rows and the start of the next; their co-moments are merged after the places of the
+    second are moved by W. ``prior`` frames give null unless all W values are present, others from two values on.
+    """
+
+    def apply(df, parts, order):
+        before = df.columns
+        wanted: dict[str, Column] = {}
+        for size in windows:
+            df, (a, b), helpers = _runs(df, parts, order, size, prior, lambda frame, place: _line_over(y, place, frame))
+            n, slope = _slope(a, b, size)
+            full = n >= size if prior else n > 1
+            wanted[name.format(stat="slope", w=size)] = F.when(full, slope)
+        return df.withColumns(wanted).select(*before, *wanted)
+
+    return apply
+
+
+def rolling_trend(
+    df: DataFrame,
+    windows: Sequence[int] = WINDOWS,
+    y: str = TARGET,
+    keys: Sequence[str] = SERIES_KEYS,
+    order: Sequence[str] = ("dt",),
+    prior: bool = True,
+    **hot,
+) -> DataFrame:
+    """Change of ``y`` per row over the last windows of rows."""
+    fn = trend_columns(y, windows, y + ("_roll_{stat}_{w}" if prior else "_rolling_{stat}_{w}"), prior=prior)
+    return over_series(df, fn, keys, order, lookback=max(windows) + 1, **hot)
+
+
+# --- rolling statistics over series ---------------------------------------------
+
 def rolling_incl(
     df: DataFrame,
     windows: Sequence[int] = WINDOWS,
@@ -227,7 +341,7 @@ def rolling_incl(
 ) -> DataFrame:
     name = y + "_rolling_{stat}_{w}"
     fn = rolling_columns(y, windows, stats, name, prior=False)
-    return over_series(df, fn, keys, order, lookback=max(windows), **hot)
+    return over_series(df, fn, keys, order, lookback=max(windows), **_limits(stats, hot))
 
 
 def rolling_prior(
@@ -241,7 +355,7 @@ def rolling_prior(
 ) -> DataFrame:
     name = y + "_roll_{stat}_{w}"
     fn = rolling_columns(y, windows, stats, name, prior=True)
-    return over_series(df, fn, keys, order, lookback=max(windows) + 1, **hot)
+    return over_series(df, fn, keys, order, lookback=max(windows) + 1, **_limits(stats, hot))
 
 
 def velocity_columns(y: str, window: int) -> Transform:
@@ -289,21 +403,18 @@ def ewm_prior(
     parallel and only their end coefficients are chained.
     """
     names = [f"{y}_ewm_{s}" for s in spans]
-    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
-    sort_by = list(order)
 
-    def short(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sort_by, kind="stable")
-        x = pdf[y].astype("float64").shift(1)
-        return pdf.assign(**{n: x.ewm(span=s, adjust=False).mean() for n, s in zip(names, spans)})
+    def short(values: np.ndarray) -> dict[str, np.ndarray]:
+        x = pd.Series(values).shift(1)
+        return {n: x.ewm(span=s, adjust=False).mean().to_numpy() for n, s in zip(names, spans)}
 
     if series.longest_group(df, keys) <= hot_rows:
-        return df.groupBy(*keys).applyInPandas(short, schema)
+        return per_series(df, keys, order, [y], names, short)
     cell = hour_cell("dt") if cell is None else cell
     df = series.written(df)
     cold, hot = series.split_hot(df, keys, hot_rows)
     done = _ewm_blocks(df, hot, spans, names, y, keys, order, cell, block_rows)
-    return cold.groupBy(*keys).applyInPandas(short, schema).unionByName(done)
+    return per_series(cold, keys, order, [y], names, short).unionByName(done)
 
 
 def _ewm_blocks(df, hot, spans, names, y, keys, order, cell, block_rows):
@@ -315,16 +426,14 @@ def _ewm_blocks(df, hot, spans, names, y, keys, order, cell, block_rows):
     seen = rows.groupBy(*keys, "_block").agg(F.max(F.when(F.col("_x").isNotNull(), F.col("_pos"))).alias("_last"))
     earlier = _window(keys, ["_block"]).rowsBetween(Window.unboundedPreceding, -1)
     seen = seen.withColumn("_seen", F.max("_last").over(earlier)).drop("_last")
-    rows = rows.alias("d").join(F.broadcast(seen).alias("o"), same_keys("d", "o", [*keys, "_block"])).select("d.*", "o._seen")
+    # Few rows, which adaptive execution broadcasts after measuring them.
+    rows = rows.alias("d").join(seen.alias("o"), same_keys("d", "o", [*keys, "_block"])).select("d.*", "o._seen")
 
     slopes, bases = [f"_p{i}" for i in range(len(spans))], [f"_q{i}" for i in range(len(spans))]
-    doubles = [T.StructField(c, T.DoubleType()) for c in [*slopes, *bases]]
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos")
-        x = pdf["_x"].to_numpy("float64")
-        seen_at = pdf["_seen"].iloc[0]
-        fresh = pd.isna(seen_at)
+    def scan(pos: np.ndarray, x: np.ndarray, seen_before: np.ndarray) -> dict[str, np.ndarray]:
+        seen_at = seen_before[0]
+        fresh = np.isnan(seen_at)
         known = np.flatnonzero(~np.isnan(x))
         new = {}
         for i, s in enumerate(spans):
@@ -335,16 +444,16 @@ def _ewm_blocks(df, hot, spans, names, y, keys, order, cell, block_rows):
                 if known.size:
                     # The start's weight shrinks with every row since the last value seen.
                     first, alpha = known[0], 2 / (s + 1)
-                    kept = (1 - alpha) ** float(pdf["_pos"].iloc[first] - seen_at)
+                    kept = (1 - alpha) ** float(pos[first] - seen_at)
                     rest = values[first:].copy()
                     rest[0] = (kept * start + alpha * rest[0]) / (kept + alpha)
                     out[first:] = pd.Series(rest).ewm(span=s, adjust=False).mean().to_numpy()
                 return out
             new[bases[i]] = ewm(0.0, x)
             new[slopes[i]] = np.zeros(len(x)) if fresh else ewm(1.0, np.where(np.isnan(x), np.nan, 0.0))
-        return pdf.assign(**new)
+        return new
 
-    scanned = rows.groupBy(*keys, "_block").applyInPandas(scan, T.StructType([*rows.schema.fields, *doubles]))
+    scanned = per_series(rows, [*keys, "_block"], ["_pos"], ["_pos", "_x", "_seen"], [*slopes, *bases], scan)
     ends = scanned.groupBy(*keys, "_block").agg(
         *[F.max_by(c, "_pos").alias(c) for c in [*slopes, *bases]]
     )
@@ -366,7 +475,7 @@ def _ewm_blocks(df, hot, spans, names, y, keys, order, cell, block_rows):
     )
     # One row per block again.
     chained = ends.groupBy(*keys).applyInPandas(fold, start_schema)
-    joined = scanned.alias("d").join(F.broadcast(chained).alias("o"), same_keys("d", "o", [*keys, "_block"]))
+    joined = scanned.alias("d").join(chained.alias("o"), same_keys("d", "o", [*keys, "_block"]))
     means = [
         F.nanvl(F.col(f"d.{q}") + F.col(f"d.{p}") * F.coalesce(F.nanvl(F.col(f"o.{s}"), F.lit(0.0)), F.lit(0.0)),
                 F.lit(None).cast("double")).alias(n)
