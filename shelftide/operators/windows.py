@@ -201,34 +201,30 @@ def rolling_columns(
 
     def apply(df, parts, order):
         before = df.columns
-        wanted: dict[str, Column] = {}
-        helpers: list[str] = []
         w = _window(parts, order)
+        plain = [s for s in stats if s not in quantiles]
         for size in sizes:
             frame = w.rowsBetween(-size, -1) if prior else w.rowsBetween(-(size - 1), 0)
-            value: dict[str, Column] = {}
-            if size <= slide_up_to or not set(stats) - set(quantiles):
+            helpers: list[str] = []
+            if size <= slide_up_to or not plain:
                 c = F.col(y).cast("double")
                 value = {"n": F.count(c).over(frame), "mean": F.avg(c).over(frame), "std": F.stddev_samp(c).over(frame),
                          "min": F.min(c).over(frame), "max": F.max(c).over(frame)}
             else:
-                df, value, made = _two_runs(df, y, parts, order, size, prior, set(stats))
-                helpers += made
-            for s in stats:
-                if s in quantiles:
-                    continue
+                df, value, helpers = _two_runs(df, y, parts, order, size, prior, set(plain))
+            wanted: dict[str, Column] = {}
+            for s in plain:
                 out = value[s]
                 if prior:
                     out = F.when(value["n"] >= size, out)
                 elif s == "std":
                     out = F.coalesce(out, F.lit(0.0))
                 wanted[name.format(stat=s, w=size)] = out
-        out = df.withColumns(wanted).select(*before, *wanted)
-        if not quantiles:
-            return out
-        names = [name.format(stat=s, w=size) for size in sizes for s in stats]
-        found = _rolling_quantiles(out, y, parts, order, sizes, quantiles, name, prior)
-        return found.select(*before, *names)
+            # What a size needs goes before the next size sorts the rows again.
+            df = df.withColumns(wanted).drop(*helpers)
+        if quantiles:
+            df = _rolling_quantiles(df, y, parts, order, sizes, quantiles, name, prior)
+        return df.select(*before, *[name.format(stat=s, w=size) for size in sizes for s in stats])
 
     return apply
 
@@ -303,13 +299,15 @@ def trend_columns(y: str, windows: Iterable[int], name: str, *, prior: bool) ->
 
     def apply(df, parts, order):
         before = df.columns
-        wanted: dict[str, Column] = {}
+        wanted: list[str] = []
         for size in windows:
             df, (a, b), helpers = _runs(df, parts, order, size, prior, lambda frame, place: _line_over(y, place, frame))
             n, slope = _slope(a, b, size)
             full = n >= size if prior else n > 1
-            wanted[name.format(stat="slope", w=size)] = F.when(full, slope)
-        return df.withColumns(wanted).select(*before, *wanted)
+            # What a size needs goes before the next size sorts the rows again.
+            wanted.append(name.format(stat="slope", w=size))
+            df = df.withColumn(wanted[-1], F.when(full, slope)).drop(*helpers)
+        return df.select(*before, *wanted)
 
     return apply
 
