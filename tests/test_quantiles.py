@@ -18,14 +18,19 @@ CASES = {
     "two": [2.0, 3.0],
     "zeros": [0.0] * 90 + [1.0, 2.0, 300.0],
     "signs": [-5.0, -0.0, 0.0, 1e-40, -1e-40, 7.25, 1e12, -1e12, 3.0],
+    "infinite": [float("-inf"), -1e300, 1.0, 2.0, 3.0, 1.7976931348623157e308, float("inf"), float("inf")],
+    "all sizes": [s * 2.0**k for k in range(-1070, 1020, 13) for s in (-1, 1)],
     "ties": [1.0, 1.0, 1.0, 2.0, 2.0, 9.0],
 }
 
 
-@pytest.fixture(params=["built in", "buckets"], autouse=True)
+@pytest.fixture(params=["few", "counted", "cut"], autouse=True)
 def path(request, monkeypatch):
-    if request.param == "buckets":
-        monkeypatch.setattr(quantiles, "BUILT_IN_UP_TO", -1)
+    """All values are counted; or ranges are cut, the small ones counted; or cut until one value is left."""
+    if request.param != "few":
+        monkeypatch.setattr(quantiles, "FEW_VALUES", -1)
+    if request.param == "cut":
+        monkeypatch.setattr(quantiles, "FEW_ROWS", 0)
 
 
 @pytest.mark.parametrize("name", CASES)
@@ -34,7 +39,11 @@ def test_matches_numpy(spark, name):
     qs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
     got = {r.q: r.value for r in quantiles.exact_percentiles(_df(spark, {"x": values}), ["x"], qs).collect()}
     for q in qs:
-        assert got[q] == pytest.approx(np.quantile(values, q), rel=1e-12, abs=1e-45)
+        ranked = sorted(values)
+        at = (len(values) - 1) * q
+        low, high = ranked[int(np.floor(at))], ranked[int(np.ceil(at))]
+        want = low if low == high else (np.ceil(at) - at) * low + (at - np.floor(at)) * high
+        assert got[q] == want or np.isnan(want) and np.isnan(got[q])
 
 
 def test_several_columns_with_nulls(spark):
@@ -56,19 +65,33 @@ def test_buckets_follow_the_order_of_values(spark):
     assert buckets == sorted(buckets)
 
 
-def test_both_ways_agree_to_the_last_bit(spark):
+def test_agrees_with_the_built_in_percentile(spark):
     df = spark.range(1000).select((F.rand(3) * 100).alias("v"))
-    counts = quantiles.value_counts(df, ["v"]).cache()
     qs = [0.1, 0.25, 0.3, 0.5, 0.77]
-    few, many = (
-        {r["q"]: r["value"] for r in f(counts, qs).collect()} for f in (quantiles.percentiles_of_few, quantiles.percentiles_of_counts)
-    )
-    assert few == many
-
-
-def test_a_narrow_range_far_from_zero_fills_many_buckets(spark):
-    df = spark.range(100_000).select((F.col("id") + 1_700_000_000).cast("double").alias("v"))
-    least = df.agg(F.min("v")).first()[0]
-    sizes = df.groupBy(quantiles.magnitude_bucket(F.col("v") - F.lit(least))).count()
-    assert sizes.agg(F.max("count")).first()[0] < 100
-    assert quantiles.percentiles_of_counts(quantiles.value_counts(df, ["v"]), [0.5]).first()["value"] == 1_700_000_000 + 49_999.5
+    built_in = df.agg(F.percentile("v", F.array(*[F.lit(q) for q in qs]))).first()[0]
+    assert [quantiles.percentiles(df, ["v"], qs)["v", q] for q in qs] == built_in
+
+
+def test_one_outlier_costs_one_round(spark, monkeypatch):
+    """Consecutive values and one far away: the second round has many buckets."""
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 100)
+    monkeypatch.setattr(quantiles, "FEW_VALUES", -1)
+    df = spark.range(100_000).select(F.col("id").cast("double").alias("v")).union(spark.createDataFrame([(-1e12,)], "v double"))
+    rounds = []
+    cut = quantiles._cut
+    monkeypatch.setattr(quantiles, "_cut", lambda *a: rounds.append([r.n for r in a[1]]) or cut(*a))
+    assert quantiles.percentiles(df, ["v"], [0.5, 0.25]) == {("v", 0.5): 49_999.0, ("v", 0.25): 24_999.0}
+    assert rounds[0] == [100_001] and len(rounds) <= 3
+
+
+def test_a_range_that_cannot_be_cut_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 0)
+    top = 1.7976931348623157e308
+    df = _df(spark, {"x": [top] * 5 + [float("inf")] * 6})
+    assert quantiles.percentiles(df, ["x"], [0.0, 0.4, 1.0]) == {("x", 0.0): top, ("x", 0.4): top, ("x", 1.0): float("inf")}
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "x double, y long")
+    assert quantiles.percentiles(df, ["x", "y"], [0.5]) == {("x", 0.5): None, ("y", 0.5): None}
+    assert quantiles.median_of(df, "x").first()["median"] is None
