@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from math import ceil
 
-from .sqltext import SER, SPLIT, on_sales, solve
+from .oracle_profile import PREDICTIONS
+from .sqltext import SER, SPLIT, ea_when, on_sales, solve
 
 Y = "sale_amount"
 ROW = "store_id, product_id, dt"
@@ -62,7 +63,68 @@ _HIERARCHY = (
 )
 _METHODS = ("base", "bottom_up", "top_down")
 
+_PAIRS = (
+    "nc AS (SELECT first_category_id AS c, COUNT(DISTINCT (store_id, dt)) AS cells FROM sales GROUP BY 1)",
+    f"sm AS (SELECT product_id AS p, SUM({Y}) AS s, SUM({Y} * {Y}) AS ss FROM sales GROUP BY 1)",
+    f"""pr AS (SELECT a.first_category_id AS c, a.product_id AS pa, b.product_id AS pb, COUNT(*) AS support, SUM(a.{Y} * b.{Y}) AS xy
+      FROM sales a JOIN sales b ON a.store_id = b.store_id AND a.dt = b.dt AND a.first_category_id = b.first_category_id AND a.product_id < b.product_id
+      WHERE a.{Y} <> 0 AND b.{Y} <> 0 GROUP BY 1, 2, 3)""",
+    """co AS (SELECT pr.c, pa, pb, support, ROUND((cells * xy - x.s * y.s)
+      / NULLIF(SQRT((cells * x.ss - x.s * x.s) * (cells * y.ss - y.s * y.s)), 0), 9) AS r
+      FROM pr JOIN nc ON nc.c = pr.c JOIN sm x ON x.p = pa JOIN sm y ON y.p = pb)""",
+)
+_BEST = (
+    """be AS (SELECT p, arg_min(q, (r, q)) AS q, MIN(r) AS r FROM (SELECT pa AS p, pb AS q, r FROM co UNION ALL SELECT pb, pa, r FROM co)
+      WHERE r IS NOT NULL GROUP BY p)""",
+    f"""cj AS (SELECT a.product_id AS p, a.{Y} AS y, a.discount AS own, b.discount AS other FROM sales a JOIN be ON be.p = a.product_id
+      JOIN sales b ON b.store_id = a.store_id AND b.dt = a.dt AND b.product_id = be.q)""",
+)
+_BREAKS = (
+    "hd AS (SELECT DISTINCT city_id, date_trunc('day', dt) AS day FROM sales WHERE holiday_flag = 1)",
+    """br AS (SELECT city_id, day - to_days(CAST(city_id AS INT)) AS a, day + to_days(CAST(2 + city_id AS INT)) AS b FROM hd
+      UNION ALL SELECT city_id, day - INTERVAL 1 DAY, day + INTERVAL 1 DAY FROM hd)""",
+    """bn AS (SELECT *, SUM(fresh) OVER (PARTITION BY city_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT *, CASE WHEN
+      a <= MAX(b) OVER (PARTITION BY city_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM br))""",
+    "bm AS (SELECT city_id, k, MIN(a) AS a, MAX(b) AS b FROM bn GROUP BY 1, 2)",
+    "sb AS (SELECT s.*, bm.a, bm.b FROM sales s LEFT JOIN bm ON bm.city_id = s.city_id AND s.dt BETWEEN bm.a AND bm.b)",
+)
+_CUSUM = (
+    PREDICTIONS,
+    f"""rs AS (SELECT {ROW}, {Y} - prediction AS r, CAST({Y} - prediction AS DECIMAL(18,4)) AS d, ROW_NUMBER() OVER ({SER}) AS rn FROM preds)""",
+    """sd AS (SELECT store_id, product_id, CAST(ROUND(STDDEV_POP(r) * 0.5, 4) AS DECIMAL(18,4)) AS k, CAST(ROUND(STDDEV_POP(r) * 5.0, 4) AS DECIMAL(18,4)) AS lim,
+      AVG(r) AS m, VAR_POP(r) AS v, COUNT(*) AS n FROM rs GROUP BY 1, 2)""",
+    """cu AS (SELECT store_id, product_id, dt, rn, CAST(GREATEST(d - k, 0) AS DECIMAL(28,4)) AS up, CAST(GREATEST(-d - k, 0) AS DECIMAL(28,4)) AS down
+        FROM rs JOIN sd USING (store_id, product_id) WHERE rn = 1
+      UNION ALL SELECT rs.store_id, rs.product_id, rs.dt, rs.rn, CAST(GREATEST(cu.up + d - k, 0) AS DECIMAL(28,4)), CAST(GREATEST(cu.down - d - k, 0) AS DECIMAL(28,4))
+        FROM cu JOIN rs ON rs.store_id = cu.store_id AND rs.product_id = cu.product_id AND rs.rn = cu.rn + 1
+        JOIN sd ON sd.store_id = rs.store_id AND sd.product_id = rs.product_id)""",
+    f"""al AS (SELECT {ROW}, up, down, lim, CASE WHEN lim > 0 AND up > lim AND COALESCE(LAG(up) OVER ({SER}), 0) <= lim THEN 1
+        WHEN lim > 0 AND down > lim AND COALESCE(LAG(down) OVER ({SER}), 0) <= lim THEN -1 ELSE 0 END AS alarm FROM cu JOIN sd USING (store_id, product_id))""",
+    f"lg AS (SELECT *, LAG(r, 1) OVER ({SER}) AS l1, LAG(r, 24) OVER ({SER}) AS l24 FROM rs)",
+)
+
 ORACLE = {
+    "substitutability": on_sales("SELECT c AS first_category_id, pa AS product_a, pb AS product_b, support, r AS correlation FROM co WHERE support >= 2", *_PAIRS),
+    "cannibalization": on_sales(
+        """SELECT s.p AS product_id, be.q AS substitute_id, ROUND(be.r, 6) AS correlation, n, ROUND(w0, 6) AS own_effect, ROUND(w1, 6) AS cross_effect,
+          ROUND(intercept, 6) AS intercept, ROUND(r2, 6) AS r2, w1 < 0 AS cannibalized FROM solved s JOIN be ON be.p = s.p""",
+        *_PAIRS, *_BEST, *solve("cj", "p", "y", ("own", "other"))),
+    "school_calendar": on_sales(
+        f"""SELECT {ROW}, CAST(a IS NOT NULL AS INT) AS school_break, CAST(epoch(dt) - epoch(a) AS DOUBLE) / 3600 AS school_hours_since,
+          CAST(epoch(b) - epoch(dt) AS DOUBLE) / 3600 AS school_hours_left FROM sb""", *_BREAKS),
+    "school_effect": on_sales(
+        f"""SELECT city_id, n_break, ROUND(mb, 9) AS mean_break, ROUND(mr, 9) AS mean_rest, ROUND(mb - mr, 9) AS effect FROM (
+          SELECT city_id, COUNT(a) AS n_break, {ea_when('a IS NOT NULL', Y)} AS mb, {ea_when('a IS NULL', Y)} AS mr FROM sb GROUP BY 1)""", *_BREAKS),
+    "cumulative_bias": on_sales(
+        f"""SELECT {ROW}, ROUND(CAST(up AS DOUBLE), 6) AS cusum_up, ROUND(CAST(down AS DOUBLE), 6) AS cusum_down, ROUND(CAST(lim AS DOUBLE), 6) AS cusum_limit,
+          CAST(alarm AS INT) AS cusum_alarm FROM al""", *_CUSUM),
+    "residual_bias": on_sales(
+        """SELECT sd.store_id, sd.product_id, n, ROUND(m, 6) AS bias, ROUND(p1 / NULLIF(n * v, 0), 6) AS acf_1, ROUND(p24 / NULLIF(n * v, 0), 6) AS acf_24,
+          ROUND(max_up, 6) AS max_up, ROUND(max_down, 6) AS max_down, n_alarms, first_alarm
+        FROM sd JOIN (SELECT store_id, product_id, CAST(MAX(up) AS DOUBLE) AS max_up, CAST(MAX(down) AS DOUBLE) AS max_down, COUNT(*) FILTER (alarm <> 0) AS n_alarms,
+            MIN(CASE WHEN alarm <> 0 THEN dt END) AS first_alarm FROM al GROUP BY 1, 2) USING (store_id, product_id)
+          JOIN (SELECT lg.store_id, lg.product_id, SUM((r - m) * (l1 - m)) AS p1, SUM((r - m) * (l24 - m)) AS p24 FROM lg JOIN sd USING (store_id, product_id)
+            GROUP BY 1, 2) USING (store_id, product_id)""", *_CUSUM),
     "hierarchy_forecast": on_sales(
         f"SELECT level, {_KEYS}, dt, " + ", ".join(f"CAST({c} AS DOUBLE) / 10000 AS {c}" for c in ("actual", *_METHODS)) + " FROM hi", *_HIERARCHY),
     "hierarchy_metrics": on_sales(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelftide.operators import affinity, metrics, periods, residuals
 from shelftide.plans import hierarchy, horizons
 from shelftide.sources.retail import SPLIT_AT
 
 from . import inputs
-from .query_profile import _rounded
+from .query_profile import ROW, _rounded
 
 
 def _split():
@@ -38,7 +39,56 @@ def hierarchy_metrics(spark, sf_dir):
     return _rounded(hierarchy.hierarchy_metrics(_hierarchy(spark, sf_dir)), 9)
 
 
+def substitutability(spark, sf_dir):
+    return affinity.substitutability(inputs.sales(spark, sf_dir), min_support=2)
+
+
+def cannibalization(spark, sf_dir):
+    return _rounded(affinity.cannibalization(inputs.sales(spark, sf_dir)))
+
+
+def _breaks(sales):
+    """Breaks around every holiday: of different length by city, and one day around it for all."""
+    days = sales.filter("holiday_flag = 1").select("city_id", F.date_trunc("day", "dt").alias("day")).distinct()
+    city = F.make_dt_interval(F.col("city_id"))
+    day = F.make_dt_interval(F.lit(1))
+    return days.select("city_id", F.inline(F.array(
+        F.struct((F.col("day") - city).alias("start"), (F.col("day") + day + day + city).alias("end")),
+        F.struct((F.col("day") - day).alias("start"), (F.col("day") + day).alias("end")))))
+
+
+def _on_breaks(spark, sf_dir):
+    sales = inputs.sales(spark, sf_dir)
+    return periods.in_periods(sales.select(*ROW, "city_id", "sale_amount"), _breaks(sales))
+
+
+def school_calendar(spark, sf_dir):
+    return _on_breaks(spark, sf_dir).select(*ROW, "school_break", "school_hours_since", "school_hours_left")
+
+
+def school_effect(spark, sf_dir):
+    return _rounded(periods.period_effect(_on_breaks(spark, sf_dir)), 9)
+
+
+def _residuals(spark, sf_dir):
+    return metrics.residuals(inputs.predictions(spark, sf_dir)).select(*ROW, "residual")
+
+
+def residual_bias(spark, sf_dir):
+    return _rounded(residuals.residual_bias(_residuals(spark, sf_dir)))
+
+
+def cumulative_bias(spark, sf_dir):
+    return _rounded(residuals.cumulative_bias(_residuals(spark, sf_dir)).drop("residual"))
+
+
 QUERIES = {
+    "substitutability": substitutability,
+    "cannibalization": cannibalization,
+    "school_calendar": school_calendar,
+    "school_effect": school_effect,
+    "residual_bias": residual_bias,
+    "cumulative_bias": cumulative_bias,
     "hierarchy_forecast": hierarchy_forecast,
     "hierarchy_metrics": hierarchy_metrics,
     "horizon_metrics": horizon_metrics,
