@@ -22,7 +22,8 @@ HEADLINE = (
     "q30_store_health", "profile_target", "describe", "lag_features", "rolling_prior_mean", "rolling_prior_q25",
     "rolling_incl_median", "ewm_prior", "product_velocity", "sales_rank", "store_features", "complementary_count",
     "features_full", "seasonal_naive", "moving_average", "seasonal_profile", "business_metrics",
-    "linear_ridge", "tree_random_forest", "stacked",
+    "linear_ridge", "tree_random_forest", "stacked_small", "rolling_trend", "horizon_metrics", "hierarchy_forecast",
+    "substitutability", "cannibalization", "residual_bias", "store_clusters",
 )
 
 

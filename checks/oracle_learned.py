@@ -5,7 +5,7 @@ from __future__ import annotations
 from .oracle_features import DISCOUNT, LAGS, PARTS, PRECIP, TEMP, WINDOWS, _EWM_ROWS, _cycle, _flag
 from .oracle_models import CORE, ORACLE as MODELS
 from .oracle_profile import PREDICTIONS, key_bucket
-from .sqltext import SER, SPLIT, ea, es, on_hb, on_sales
+from .sqltext import SER, SPLIT, ea, es, on_hb, on_sales, solve
 
 Y = "sale_amount"
 ROW = "store_id, product_id, dt"
@@ -22,6 +22,23 @@ def _single(slope: str) -> str:
         UNION ALL SELECT 'intercept', ROUND(mean_y, 6), NULL FROM m""", LAGGED)
 
 
+SEVEN = ("hour_sin", "hour_cos", "dow_sin", "dow_cos", f"{Y}_lag_1", f"{Y}_lag_7", f"{Y}_lag_168")
+_ANGLES = {"hour": "2 * pi() * hour(dt) / 24", "dow": "2 * pi() * (isodow(dt) - 1) / 7"}
+
+
+def _seven(alpha: float) -> str:
+    """Normal equations over the seven features of the models, each scaled to mean 0 and spread 1."""
+    raw = ", ".join(f"{f}({a}) AS {n}_{f.lower()}" for n, a in _ANGLES.items() for f in ("SIN", "COS"))
+    lags = ", ".join(f"COALESCE(LAG({Y}, {k}) OVER ({SER}), 0) AS {Y}_lag_{k}" for k in (1, 7, 168))
+    scaled = ", ".join(f"({c} - AVG({c}) OVER ()) / STDDEV_POP({c}) OVER () AS {c}" for c in SEVEN)
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, w{i} AS v FROM solved" for i, c in enumerate(SEVEN))
+    return on_sales(
+        f"""SELECT feature, ROUND(v, 6) AS coefficient, CASE WHEN feature <> 'intercept' THEN ROUND(ABS(v), 6) END AS importance
+        FROM ({rows} UNION ALL SELECT 'intercept', intercept FROM solved)""",
+        f"f7 AS (SELECT {Y}, {raw}, {lags} FROM sales WHERE dt < {SPLIT})", f"z7 AS (SELECT 1 AS one, {Y}, {scaled} FROM f7)",
+        *solve("z7", "one", Y, SEVEN, alpha))
+
+
 def _soft(threshold: float) -> str:
     return f"(SIGN(c) * GREATEST(ABS(c) - CAST({threshold} AS DOUBLE), 0))"
 
@@ -57,6 +74,8 @@ def _prior(w: int) -> str:
 ORACLE = {
     "linear_ols": _single("c"),
     "linear_ridge": _single("(n * c / (n + 1))"),
+    "linear_ols_full": _seven(0.0),
+    "linear_ridge_full": _seven(1.0),
     "linear_lasso": _single(_soft(1.0)),
     "linear_elasticnet": _single(f"({_soft(0.5)} / CAST(1.5 AS DOUBLE))"),
     "coefficients": on_sales(
@@ -88,6 +107,7 @@ ORACLE = {
             COVAR_POP(b, {Y}) AS sby, VAR_POP({Y}) AS syy FROM lagged),
         w AS (SELECT *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS wa, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS wb FROM t)"""),
     "save_model": MODELS["naive_last"],
+    "save_model_all": MODELS["naive_last_all"],
     "write_comparison": on_sales(
         f"SELECT model, {CORE} FROM both_models GROUP BY 1", PREDICTIONS,
         f"""fit AS (SELECT store_id, product_id, arg_max({Y}, dt) AS l FROM train GROUP BY 1, 2),

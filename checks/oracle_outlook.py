@@ -5,7 +5,7 @@ from __future__ import annotations
 from math import ceil
 
 from .oracle_profile import PREDICTIONS
-from .sqltext import SER, SPLIT, ea_when, on_sales, solve
+from .sqltext import SER, SPLIT, ea_when, es, on_sales, solve
 
 Y = "sale_amount"
 ROW = "store_id, product_id, dt"
@@ -104,6 +104,11 @@ _CUSUM = (
 )
 
 ORACLE = {
+    "store_profiles": on_sales(
+        """SELECT store_id, total, CAST(slot AS INT) AS slot, ROUND(COALESCE(s / NULLIF(total, 0), 0), 9) AS share FROM
+          (SELECT store_id, total, unnest(generate_series(0, 167)) AS slot FROM tot) LEFT JOIN so USING (store_id, slot)""",
+        f"so AS (SELECT store_id, (isodow(dt) - 1) * 24 + hour(dt) AS slot, {es(Y)} AS s FROM sales GROUP BY 1, 2)",
+        f"tot AS (SELECT store_id, {es(Y)} AS total FROM sales GROUP BY 1)"),
     "substitutability": on_sales("SELECT c AS first_category_id, pa AS product_a, pb AS product_b, support, r AS correlation FROM co WHERE support >= 2", *_PAIRS),
     "cannibalization": on_sales(
         """SELECT s.p AS product_id, be.q AS substitute_id, ROUND(be.r, 6) AS correlation, n, ROUND(w0, 6) AS own_effect, ROUND(w1, 6) AS cross_effect,

@@ -88,6 +88,12 @@ def _forest(spark, sf_dir):
 
 
 def stacked(spark, sf_dir):
+    """The settings of the class: all rounds, all folds."""
+    model = Stacked(features=features.model_feature_names(), parallelism=6).fit(_train(spark, sf_dir))
+    return model.transform(_eval(spark, sf_dir)).select(*ROW, "prediction")
+
+
+def stacked_small(spark, sf_dir):
     names = features.model_feature_names()
     bases = {
         "linear": Linear(kind="ridge", impute="constant"),
@@ -103,10 +109,13 @@ def model_summary(spark, sf_dir):
     return _rounded(spark.createDataFrame([row], "model_name string, is_fitted boolean, num_features int, train_r2 double"))
 
 
-def save_model(spark, sf_dir):
-    path = inputs.folder(spark, "model")
-    naive.Naive("last").fit(inputs.seen_train(spark, sf_dir)).save(spark, path)
-    return _rounded(load_model(spark, path).transform(inputs.evaluation(spark, sf_dir).select(*ROW)))
+def _stored_model(rows):
+    def run(spark, sf_dir):
+        path = inputs.folder(spark, "model")
+        naive.Naive("last").fit(rows(spark, sf_dir)).save(spark, path)
+        return _rounded(load_model(spark, path).transform(inputs.evaluation(spark, sf_dir).select(*ROW)))
+
+    return run
 
 
 def write_comparison(spark, sf_dir):
@@ -184,8 +193,10 @@ QUERIES = {
     "importance_detail": lambda spark, d: _forest(spark, d).importance_detail(spark),
     "feature_importance": lambda spark, d: importance_rows(spark, _forest(spark, d).importance(), 10),
     "stacked": stacked,
+    "stacked_small": stacked_small,
     "model_summary": model_summary,
-    "save_model": save_model,
+    "save_model": _stored_model(inputs.seen_train),
+    "save_model_all": _stored_model(inputs.train),
     "write_comparison": write_comparison,
     "write_results": write_results,
     "run_experiment": run_experiment,

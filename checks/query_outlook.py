@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelftide.operators import affinity, metrics, periods, residuals
+from shelftide.operators import affinity, clusters, metrics, periods, residuals
 from shelftide.plans import hierarchy, horizons
 from shelftide.sources.retail import SPLIT_AT
 
@@ -82,7 +82,20 @@ def cumulative_bias(spark, sf_dir):
     return _rounded(residuals.cumulative_bias(_residuals(spark, sf_dir)).drop("residual"))
 
 
+def store_profiles(spark, sf_dir):
+    """Profiles unfolded: one row per store and hour of the week."""
+    made = clusters.week_profiles(inputs.sales(spark, sf_dir))
+    return _rounded(made.select("store_id", "total", F.posexplode("profile").alias("slot", "share")), 9)
+
+
+def store_clusters(spark, sf_dir):
+    made = clusters.week_profiles(inputs.sales(spark, sf_dir))
+    return clusters.fit_store_clusters(made).transform(made).select("store_id", "cluster", "distance")
+
+
 QUERIES = {
+    "store_profiles": store_profiles,
+    "store_clusters": store_clusters,
     "substitutability": substitutability,
     "cannibalization": cannibalization,
     "school_calendar": school_calendar,
