@@ -79,17 +79,21 @@ def hierarchy_forecast(df: DataFrame, split: Column, y: str = TARGET) -> DataFra
     """The week from ``split`` on, for every node of every level: ``level``, its columns (null where they are summed over),
     ``dt``, and the units ``actual``, ``base``, ``bottom_up`` and ``top_down``.
 
-    Every node has a row for every hour in which one of its series has a row in the three weeks. Rows without a time are
-    left out; null keys are a key of their own; null sales count as none.
+    Every node of a series with a row in the three weeks has a row for every hour of the week. Rows without a time are left out; null keys are a key of their own; null sales count as none.
     """
+    keys = [STORE, CATEGORY, PRODUCT]
     weeks = _weeks(df, split, y)
+    # Every series takes part in every hour, or what is dealt to it there would be lost.
+    hours = F.transform(F.sequence(F.lit(0), F.lit(WEEK_HOURS - 1)), lambda h: F.timestamp_add("HOUR", h, split))
+    grid = _shares(weeks).select("*", F.explode(hours).alias("dt"))
+    same = F.lit(True)
+    for k in (*keys, "dt"):
+        same = same & F.col(f"g.{k}").eqNullSafe(F.col(f"w.{k}"))
+    counts = [F.coalesce(f"w.{c}", F.lit(0)).alias(c) for c in ("actual", "last", "before")]
+    rows = grid.alias("g").join(weeks.alias("w"), same, "left").select("g.*", *counts)
     # One row per hour of the week.
     totals = weeks.groupBy("dt").agg(own_forecast(F.sum("last"), F.sum("before")).alias("_total"))
-    rows = attach(weeks, totals, ["dt"], WEEK_HOURS)
-    keys = [STORE, CATEGORY, PRODUCT]
-    shares = _shares(weeks).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_from", "_to", "_of", "_store_from", "_store_to", "_all")
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    rows = rows.join(shares, same[0] & same[1] & same[2])
+    rows = attach(rows, totals, ["dt"], WEEK_HOURS).withColumn("_total", F.coalesce("_total", F.lit(0)))
     of_store = dealt(F.col("_total"), F.col("_store_from"), F.col("_store_to"), F.col("_all"))
     rows = rows.withColumn("_of_store", of_store).select(
         *keys, "dt", "actual", "last", "before", own_forecast(F.col("last"), F.col("before")).alias("bottom_up"),
