@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import STAGE_BINS
@@ -97,8 +97,9 @@ def category_spillover(df: DataFrame, category: str = "first_category_id") -> Da
 
 def complementary_count(df: DataFrame) -> DataFrame:
     """Other products the store has in the same hour."""
-    counts = df.groupBy("store_id", "dt").agg((F.count_distinct("product_id") - 1).alias("comp_products_count"))
-    return _attach_one(df, counts, "store_id", "dt", spread=True)
+    # A cell holds the products of one store in one hour, so its set is small and no join is needed.
+    cell = F.size(F.collect_set("product_id").over(Window.partitionBy("store_id", "dt")))
+    return df.withColumn("comp_products_count", (cell - 1).cast("long"))
 
 
 def city_total(df: DataFrame, city: str = "city_id") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import magnitude_bucket
-from .series import attach, distinct_keys
+from .series import attach
 
 
 def dense_rank_desc(
@@ -22,13 +22,11 @@ def dense_rank_desc(
     frame with the same keys and values to rank from.
     """
     source = df if source is None else source
-    values = (
-        source.select(*keys, (F.col(value) + F.lit(0.0)).alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .distinct()
-    )
-    least = values.agg(F.min("_v")).first()[0]
-    values = values.withColumn("_b", magnitude_bucket(F.col("_v") - F.lit(least)))
+    rows = source.select(*keys, (F.col(value) + F.lit(0.0)).alias("_v")).filter(F.col("_v").isNotNull())
+    # Two numbers from one pass of sketches.
+    middle, n_values = rows.agg(F.percentile_approx("_v", 0.5, 1000), F.approx_count_distinct(F.struct(*keys, "_v"))).first()
+    # Buckets are fine near the middle and coarse far from it, so no outlier on either side makes them few.
+    values = rows.distinct().withColumn("_b", magnitude_bucket(F.col("_v") - F.lit(middle)))
     down = Window.partitionBy(*keys).orderBy(F.desc("_b"))
     above = (
         values.groupBy(*keys, "_b")
@@ -40,5 +38,4 @@ def dense_rank_desc(
         *keys, "_v", (F.col("_above") + F.dense_rank().over(inside)).cast("long").alias(name)
     )
     rows = df.withColumn("_v", F.col(value) + F.lit(0.0))
-    n_values = distinct_keys(source, [*keys, value])[0]
     return attach(rows, ranked, [*keys, "_v"], n_values).select(*df.columns, name)

@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelftide.operators import affinity, clusters, periods, regression, residuals, windows
+from shelftide.operators import affinity, clusters, groups, periods, quantiles, ranks, regression, residuals, windows
 from shelftide.plans import hierarchy, horizons
 
 START = dt.datetime(2024, 1, 1)
@@ -62,6 +62,24 @@ def test_quantiles_of_cut_series(spark, random_series, fn):
         assert a[:6] == b[:6] and all(x is None and y is None or x == pytest.approx(y, abs=1e-9) for x, y in zip(a[6:], b[6:], strict=True))
 
 
+@pytest.mark.parametrize("odd", [-1e12, 1e12, None])
+def test_ranks_beside_an_outlier(spark, odd):
+    values = [float(v // 2) for v in range(4000)] + [odd, -0.0]
+    df = spark.createDataFrame([(1, v) for v in values], "c int, y double").repartition(4)
+    got = {(r["y"], r["r"]) for r in ranks.dense_rank_desc(df, ["c"], "y", "r").collect()}
+    order = sorted({v for v in values if v is not None}, reverse=True)
+    assert got == {(v, k + 1) for k, v in enumerate(order)} | ({(None, None)} if odd is None else set())
+    middle = df.agg(F.percentile_approx("y", 0.5, 1000)).first()[0]
+    assert df.groupBy(quantiles.magnitude_bucket(F.col("y") - F.lit(middle))).count().agg(F.max("count")).first()[0] < 20
+
+
+def test_products_of_a_cell(spark):
+    rows = [(1, hours(0), p) for p in (1, 1, 2, 3, None)] + [(1, hours(1), 1), (None, hours(0), 1), (None, hours(0), 2)]
+    got = groups.complementary_count(spark.createDataFrame(rows, "store_id long, dt timestamp, product_id long")).collect()
+    assert sorted((str(r["store_id"]), r["dt"], r["comp_products_count"]) for r in got) == sorted(
+        [("1", hours(0), 2)] * 5 + [("1", hours(1), 0)] + [("None", hours(0), 1)] * 2)
+
+
 # --- regression ----------------------------------------------------------------
 
 def test_fits_per_group(spark):
