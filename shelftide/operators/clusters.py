@@ -55,14 +55,18 @@ class StoreClusters:
 
 
 def fit_store_clusters(profiles: DataFrame, k: int = 4, seed: int = SEED, max_iter: int = 50, store: str = STORE) -> StoreClusters:
-    """Centres of ``k`` clusters; fewer if there are fewer different profiles.
+    """Centres of ``k`` clusters. Up to ``k`` different profiles are their own centres.
 
     Rows are dealt out and ordered by store before the start is drawn, so the same stores give the same centres.
     """
-    rows = profiles.repartition(store).sortWithinPartitions(store).select(array_to_vector("profile").alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = profiles.repartition(store).sortWithinPartitions(store).select("profile", array_to_vector("profile").alias("features"))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if rows.isEmpty():
-            return StoreClusters([], store)
+        # At most k + 1 rows.
+        different = rows.groupBy("profile").agg(F.count(F.lit(1)).alias("n")).limit(k + 1).collect()
+        if len(different) <= k:
+            ranked = sorted(different, key=lambda r: (-r["n"], r["profile"]))
+            return StoreClusters([list(r["profile"]) for r in ranked], store)
         fitted = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-9, initMode="k-means||").fit(rows)
         sizes = fitted.summary.clusterSizes
         centres = fitted.clusterCenters()

@@ -331,3 +331,6 @@ def test_clusters_are_the_nearest_stored_centres(spark, tmp_path):
         assert len({got[s] for s in range(40) if s % 3 == kind}) == 1
     assert len({got[s] for s in (0, 1, 2, 99)}) == 4
     assert clusters.fit_store_clusters(profiles.limit(0)).centres == []
+    few = clusters.fit_store_clusters(profiles.filter("store_id IN (1, 98, 99)"), k=4)
+    assert len(few.centres) == 2 and few.centres[0] == [0.0] * 168
+    assert {r["distance"] for r in few.transform(profiles.filter("store_id IN (1, 99)")).collect()} == {0.0}
