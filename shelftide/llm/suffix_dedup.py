@@ -1,15 +1,17 @@
-"""Exact removal of repeated byte strings, by prefix-free parsing.
+"""Exact removal of repeated byte strings, by cuts that follow the content and keys of hashes.
 
 Rolling hashes cut each text into phrases: a phrase ends where the hash of ``GRAM`` bytes is the least among ``WINDOW`` places. The
 cut depends on the bytes near it only, so equal strings are cut alike wherever they stand. Every ``length``-byte
-string belongs to one cut, so a run of strings is named by two keys: what stands right of its cut (the parse's suffix) and all
-its bytes from the first string to the last (phrase suffix and parse suffix together). The order of the corpus is needed only
-up to equality of ``length`` bytes; equal keys are the neighbours in the suffix array that share them.
+string belongs to one cut, so a run of strings is named by what stands right of its cut and by all its bytes from the first
+string to the last. Only equality of ``length`` bytes matters, never their order, so no suffix array is built: equal keys of
+hashes stand for equal bytes.
 
-Runs whose right side occurs once hold no repeated string. Runs that are equal as a whole are repeated as a whole. What is
-left are the edges of repeated passages: one run per different content goes to its right side's group, where suffixes of
-the group's phrases are sorted together by their ``length``-byte keys, and neighbours with equal keys are repeated.
-Groups with more than ``HOT_GROUP`` different contents are counted by key over all tasks instead.
+A first pass over the texts counts the right sides; a bitmap of those that occur twice lets the second pass give rows for the
+other runs only. Runs whose right side occurs once hold no repeated string. Runs that are equal as a whole are repeated as a
+whole. What is left are the edges of repeated passages: one run per different content goes to its right side's group, where
+all strings of the group are sorted together by their keys, and neighbours with equal keys are repeated.
+Groups with more than ``HOT_GROUP`` different contents are counted by key over all tasks instead. Only texts that have edges,
+and at the end those that lose bytes, are shuffled.
 
 Null text is empty. Texts shorter than ``length`` bytes lose nothing. Strings are judged on the input; matches do not cross
 documents; a repeated row makes all its strings repeated. An empty table gives an empty result.
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored
+from .sieve import Sieve, sieve_of
 
 LENGTH = 400
 WINDOW = 200
@@ -77,8 +80,8 @@ def _least_in_window(keys: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(after[:n], before[size - 1: size - 1 + n])
 
 
-def runs(buffer: np.ndarray, ends: np.ndarray, hashes: tuple[Hashes, Hashes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """For documents that end at ``ends`` in one buffer: document, first start, cut, last start (all in the buffer), and keys.
+def cuts(buffer: np.ndarray, ends: np.ndarray, hashes: Hashes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """For documents that end at ``ends`` in one buffer: document, first start, cut, last start (all in the buffer), right side's key.
 
     A run holds the starts of ``length``-byte strings whose cut is the same.
     """
@@ -87,11 +90,10 @@ def runs(buffer: np.ndarray, ends: np.ndarray, hashes: tuple[Hashes, Hashes], le
     counts = np.maximum(ends - begins - length + 1, 0)
     none = np.zeros(0, np.int64)
     if not counts.any():
-        return none, none, none, none, none, none, none
-    for h in hashes:
-        h.prepare(buffer)
+        return none, none, none, none, none.view(np.uint64)
+    hashes.prepare(buffer)
     place = np.arange(len(buffer))
-    gram = hashes[0].key(place, np.minimum(place + GRAM, len(buffer)))
+    gram = hashes.key(place, np.minimum(place + GRAM, len(buffer)))
     # The right one of equal hashes: the low half falls from left to right.
     low = np.uint64(0xFFFFFFFF)
     least = _least_in_window((gram & ~low) | (low - place.astype(np.uint64)), window)
@@ -100,52 +102,79 @@ def runs(buffer: np.ndarray, ends: np.ndarray, hashes: tuple[Hashes, Hashes], le
     cut = (low - (least[starts] & low)).astype(np.int64)
     new = np.flatnonzero(np.append(True, (cut[1:] != cut[:-1]) | (document[1:] != document[:-1])))
     last = starts[np.append(new[1:] - 1, len(starts) - 1)]
-    first, cut, document = starts[new], cut[new], document[new]
-    right = hashes[0].key(cut, cut + length - window + 1)
+    cut = cut[new]
+    return document[new], starts[new], cut, last, hashes.key(cut, cut + length - window + 1)
+
+
+def whole_keys(buffer: np.ndarray, first: np.ndarray, cut: np.ndarray, last: np.ndarray, hashes: tuple[Hashes, Hashes], length: int = LENGTH) -> list[np.ndarray]:
+    """Two keys of each run's bytes and of where its cut and its last string stand in them; ``hashes[0]`` is prepared already."""
+    hashes[1].prepare(buffer)
     mixed = (cut - first).astype(np.uint64) * np.uint64(0x100000001B3) + (last - first).astype(np.uint64)
-    whole = [h.key(first, last + length) ^ mixed * np.uint64(s) for h, s in zip(hashes, _SEEDS, strict=True)]
-    return document, first, cut, last, right, *whole
+    return [h.key(first, last + length) ^ mixed * np.uint64(s) for h, s in zip(hashes, _SEEDS, strict=True)]
 
 
 def _texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def parsed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """One row per run of every document: where it stands in it, and its keys."""
+def _chunks(b: pa.RecordBatch, column: int, length: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Texts of at least ``length`` bytes in pieces of some ``_CHUNK`` bytes: rows, buffer, and where each text ends in it."""
+    rows, texts, size = [], [], 0
+    for row, text in enumerate(_texts(b.column(column))):
+        if len(text) >= length:
+            rows.append(row)
+            texts.append(text)
+            size += len(text)
+        if size >= _CHUNK:
+            yield rows, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+            rows, texts, size = [], [], 0
+    if rows:
+        yield rows, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+
+
+def _right_sides(docs: DataFrame, length: int) -> DataFrame:
+    """``(k1, n)``: keys of right sides and how often they occur, added up per piece of text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes(_SEEDS[0])
+        for b in batches:
+            for _, buffer, ends in _chunks(b, 0, length):
+                k1, n = np.unique(cuts(buffer, ends, hashes, length)[4].view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(n)], ["k1", "n"])
+
+    return docs.select("text").mapInArrow(run, "k1 long, n long")
+
+
+def parsed(docs: DataFrame, wanted: Sieve, length: int = LENGTH) -> DataFrame:
+    """One row per run of every document whose right side is in ``wanted``: where it stands in it, and its keys."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "text_key", "first", "last", "k1", "ka", "kb"]
 
-    def made(b: pa.RecordBatch, rows: list[int], texts: list[bytes], hashes: tuple[Hashes, Hashes]) -> pa.RecordBatch:
-        ends = np.cumsum([len(t) for t in texts])
-        document, first, _, last, k1, ka, kb = runs(np.frombuffer(b"".join(texts), np.uint8), ends, hashes, length)
-        begins = np.append(0, ends[:-1])[document] if len(document) else document
-        at = pa.array(np.array(rows, np.int64)[document])
-        signed = lambda x: pa.array(x.astype(np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays(
-            [b.column(0).take(at), b.column(1).take(at), pa.array(first - begins), pa.array(last - begins), signed(k1), signed(ka), signed(kb)], names)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = (Hashes(_SEEDS[0]), Hashes(_SEEDS[1]))
         for b in batches:
-            rows, texts, size = [], [], 0
-            for row, text in enumerate(_texts(b.column(2))):
-                if len(text) >= length:
-                    rows.append(row)
-                    texts.append(text)
-                    size += len(text)
-                if size >= _CHUNK:
-                    yield made(b, rows, texts, hashes)
-                    rows, texts, size = [], [], 0
-            if rows:
-                yield made(b, rows, texts, hashes)
-
-    schema = f"doc_id {kind}, text_key long, first long, last long, k1 long, ka long, kb long"
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
+            for rows, buffer, ends in _chunks(b, 2, length):
+                document, first, cut, last, right = cuts(buffer, ends, hashes[0], length)
+                k1 = right.view(np.int64)
+                held = np.flatnonzero(wanted.may_hold(k1))
+                if not len(held):
+                    continue
+                document, first, cut, last, k1 = (x[held] for x in (document, first, cut, last, k1))
+                ka, kb = whole_keys(buffer, first, cut, last, hashes, length)
+                begins = np.append(0, ends[:-1])[document]
+                at = pa.array(np.array(rows, np.int64)[document])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(at), b.column(1).take(at), *(pa.array(x) for x in (first - begins, last - begins, k1, ka.view(np.int64), kb.view(np.int64)))], names)
+
+    return docs.select("doc_id", "text_key", "text").mapInArrow(
+        run, f"doc_id {kind}, text_key long, first long, last long, k1 long, ka long, kb long")
 
 
 def _contexts(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
-    """``(k1, ka, kb, n, bytes)`` of each edge run: its bytes from the first string to the end of the last."""
+    """``(k1, ka, kb, n, bytes)`` of each edge run: its bytes from the first string to the end of the last.
+
+    Rows that are the same in ``docs`` give the same rows here.
+    """
+    docs = sieve_of(edges.select("text_key")).sift(docs, "text_key")
     wanted = edges.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
         F.collect_list(F.struct("first", "last", "k1", "ka", "kb", "n")).alias("__runs"))
     joined = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["__id"]) & (docs["text_key"] == wanted["__key"]))
@@ -162,7 +191,7 @@ def _contexts(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(),) * 4 + (pa.binary(),), strict=True)], names)
 
-    return joined.select("text", "__runs").mapInArrow(run, "k1 long, ka long, kb long, n long, bytes binary").dropDuplicates(["k1", "ka", "kb"])
+    return joined.select("text", "__runs").mapInArrow(run, "k1 long, ka long, kb long, n long, bytes binary")
 
 
 def _suffix_keys(contexts: list[bytes], hashes: tuple[Hashes, Hashes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -221,7 +250,7 @@ def _group_matches(contexts: DataFrame, length: int) -> DataFrame:
                     at = to
                 k1, rows, texts = k1[whole:], [r[whole:] for r in rows], texts[whole:]
 
-    return contexts.repartition("k1").sortWithinPartitions("k1").select("k1", "ka", "kb", "n", "bytes").mapInArrow(run, _EDGE)
+    return contexts.repartition("k1").dropDuplicates(["k1", "ka", "kb"]).sortWithinPartitions("k1").select("k1", "ka", "kb", "n", "bytes").mapInArrow(run, _EDGE)
 
 
 def _counted_matches(contexts: DataFrame, length: int) -> DataFrame:
@@ -235,7 +264,7 @@ def _counted_matches(contexts: DataFrame, length: int) -> DataFrame:
                 ka, kb, n = (b.column(c).to_numpy()[k:k + _CONTENTS][of] for c in range(3))
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ka, kb, n, start, x.view(np.int64), y.view(np.int64))], ["ka", "kb", "n", "at", "x", "y"])
 
-    grams = contexts.select("ka", "kb", "n", "bytes").mapInArrow(keys, "ka long, kb long, n long, at long, x long, y long")
+    grams = contexts.dropDuplicates(["k1", "ka", "kb"]).select("ka", "kb", "n", "bytes").mapInArrow(keys, "ka long, kb long, n long, at long, x long, y long")
     often = grams.groupBy("x", "y").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     found = grams.filter("n = 1").join(often, ["x", "y"]).select("ka", "kb", F.col("at").alias("from"), F.col("at").alias("to"))
     return found
@@ -246,9 +275,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ``docs`` has doc_id, text_key and text.
     """
-    runs_of = stored(parsed(docs, length))
-    twice = runs_of.groupBy("k1").agg(F.count(F.lit(1)).alias("n1")).filter("n1 > 1").select("k1")
-    repeated = stored(runs_of.join(twice, "k1"))
+    twice = stored(_right_sides(docs, length).groupBy("k1").agg(F.sum("n").alias("n")).filter("n > 1").select("k1"))
+    # Runs that the bitmap holds by chance stand alone below and drop out there.
+    repeated = stored(parsed(docs, sieve_of(twice), length))
     place = F.struct("doc_id", "text_key", "first", "last")
     contents = stored(repeated.groupBy("k1", "ka", "kb").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p")))
     groups = contents.groupBy("k1").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least")).filter("c > 1 AND least = 1")
@@ -284,8 +313,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes) and ``kept_sha256``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    spans = repeated_spans(keyed, length).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
-    joined = keyed.join(spans, keyed["doc_id"].eqNullSafe(spans["__id"]) & (keyed["text_key"] == spans["__key"]), "left")
+    spans = stored(repeated_spans(keyed, length)).withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "spans": "__spans"})
+    losing = sieve_of(spans.select("__key"))
+    joined = losing.sift(keyed, "text_key").alias("d").join(
+        spans, F.col("d.doc_id").eqNullSafe(spans["__id"]) & (F.col("d.text_key") == spans["__key"]), "left").select("doc_id", "text", "__spans")
+    others = losing.sift(keyed, "text_key", inside=False).select("doc_id", "text", F.lit(None).cast(spans.schema["__spans"].dataType).alias("__spans"))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,5 +334,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names)
 
-    return joined.select("doc_id", "text", "__spans").mapInArrow(
+    return joined.union(others).mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
