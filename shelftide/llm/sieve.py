@@ -25,16 +25,18 @@ class Sieve:
         slot = keys & np.int64(self.bits - 1)
         return (np.frombuffer(self.held.value, np.uint8)[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
+    def tested(self, keys: pa.Array, inside: bool = True) -> pa.Array:
+        """True where the sieve may hold the key, or with ``inside=False`` where not. A null key is never held."""
+        found = self.may_hold(keys.fill_null(0).to_numpy()) & keys.is_valid().to_numpy(zero_copy_only=False)
+        return pa.array(found == inside)
+
     def sift(self, df: DataFrame, key: str, inside: bool = True) -> DataFrame:
-        """Rows of ``df`` whose ``key`` the sieve may hold, or with ``inside=False`` all the others. A null key is never held."""
+        """The rows of ``df`` whose ``key`` passes ``tested``."""
         at = df.columns.index(key)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                column = b.column(at)
-                found = self.may_hold(column.fill_null(0).to_numpy()) & column.is_valid().to_numpy(zero_copy_only=False)
-                if (found == inside).any():
-                    yield b.filter(pa.array(found == inside))
+                yield b.filter(self.tested(b.column(at), inside))
 
         return df.mapInArrow(run, df.schema)
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ WINDOW = 200
 GRAM = 16
 HOT_GROUP = 2000
 #: Bytes of text, and contents of edges, that a task works on at a time.
-_CHUNK = 1 << 19
+_CHUNK = 1 << 18
 _CONTENTS = 500
 
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -315,24 +315,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     spans = stored(repeated_spans(keyed, length)).withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "spans": "__spans"})
     losing = sieve_of(spans.select("__key"))
-    joined = losing.sift(keyed, "text_key").alias("d").join(
+    touched = losing.sift(keyed, "text_key").alias("d").join(
         spans, F.col("d.doc_id").eqNullSafe(spans["__id"]) & (F.col("d.text_key") == spans["__key"]), "left").select("doc_id", "text", "__spans")
-    others = losing.sift(keyed, "text_key", inside=False).select("doc_id", "text", F.lit(None).cast(spans.schema["__spans"].dataType).alias("__spans"))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_out(ids: pa.Array, texts: list[bytes], spans: Iterable[list[dict] | None]) -> pa.RecordBatch:
+        rows = []
+        for text, of in zip(texts, spans, strict=False):
+            gone = merged([(s["from"], s["to"]) for s in of or ()])
+            at, kept = 0, []
+            for x, y in gone:
+                kept.append(text[at:x])
+                at = y
+            left = b"".join([*kept, text[at:]]) if gone else text
+            rows.append((len(text), len(text) - len(left), len(gone), left, hashlib.sha256(left).hexdigest()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
+        return pa.RecordBatch.from_arrays([ids, *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names)
+
+    def cut_touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield cut_out(b.column(0), _texts(b.column(1)), b.column(2).to_pylist())
+
+    def pass_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for text, spans in zip(_texts(b.column(1)), b.column(2).to_pylist(), strict=True):
-                gone = merged([(s["from"], s["to"]) for s in spans or ()])
-                at, kept = 0, []
-                for x, y in gone:
-                    kept.append(text[at:x])
-                    at = y
-                left = b"".join([*kept, text[at:]]) if gone else text
-                rows.append((len(text), len(text) - len(left), len(gone), left, hashlib.sha256(left).hexdigest()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names)
-
-    return joined.union(others).mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+            b = b.filter(losing.tested(b.column(2), inside=False))
+            yield cut_out(b.column(0), _texts(b.column(1)), itertools.repeat(None))
+
+    made = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+    return touched.mapInArrow(cut_touched, made).union(keyed.select("doc_id", "text", "text_key").mapInArrow(pass_others, made))
