@@ -4,8 +4,8 @@ Categories are predicted one after another. The model of a category sees word fe
 categories before it; in training those are out-of-fold predictions, so a later model learns from probabilities as they
 come out for unseen texts. The default chain is junk (labelled quality 0), then toxic: junk text looks like many things.
 
-Models are fitted on at most ``SAMPLE`` labelled documents, equal parts of each combination of labels, drawn by the hash of
-their ids and weighted back to what they stand for. Features are words, and word beginnings of 4, 5 and 6 letters, so that
+Models are fitted on at most ``SAMPLE`` labelled documents, equal parts of each combination of labels and more of the frequent
+ones where rare ones have fewer, drawn by the hash of their ids and weighted back to what they stand for. Features are words, and word beginnings of 4, 5 and 6 letters, so that
 inflected forms count together; a model keeps those whose log-odds are beyond ``LEAST_Z`` deviations from zero, the
 ``FEATURES`` most certain at most. All documents are scored.
 
@@ -178,6 +178,15 @@ def fit_chain(texts: list[str], labels: np.ndarray, weight: np.ndarray, folds: i
     return models
 
 
+def places(sizes: dict[str, int], size: int) -> dict[str, int]:
+    """How many rows each stratum gives to a sample of ``size``: equal parts, and what small strata leave goes to larger ones."""
+    out, left = {}, size
+    for k, (stratum, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        out[stratum] = min(n, left // (len(sizes) - k))
+        left -= out[stratum]
+    return out
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, str], size: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Texts, labels and weights of at most ``size`` labelled documents."""
     flags = [F.expr(test).cast("double").alias(f"__{k}") for k, test in categories.items()]
@@ -185,9 +194,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, st
     stratum = F.concat_ws("", *[F.coalesce(F.col(f"__{k}").cast("int").cast("string"), F.lit("-")) for k in categories])
     marked = marked.withColumn("__stratum", stratum)
     sizes = {r[0]: r[1] for r in marked.groupBy("__stratum").count().collect()}
-    each = size // max(len(sizes), 1)
     drawn = None
-    for s in sorted(sizes):
+    for s, each in sorted(places(sizes, size).items()):
         part = marked.filter(F.col("__stratum") == s).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each)
         drawn = part if drawn is None else drawn.union(part)
     if drawn is None:

@@ -42,6 +42,18 @@ def test_later_models_use_earlier_probabilities():
     assert len(models[0].earlier) == 0 and models[1].earlier[0] > 0
 
 
+def test_sample_takes_all_labelled_rows_within_the_bound(spark):
+    sizes = {"00": 382, "01": 67, "10": 3027, "11": 504}
+    assert toxicity.places(sizes, 6000) == sizes
+    assert toxicity.places(sizes, 2000) == {"01": 67, "00": 382, "11": 504, "10": 1047}
+    assert toxicity.places(sizes, 200) == {"01": 50, "00": 50, "11": 50, "10": 50} and toxicity.places({}, 10) == {}
+    rows, labels = made(16, 200)
+    texts, flags, weight = toxicity.training_sample(cases.docs(spark, rows), spark.createDataFrame(labels, LABELS), toxicity.CATEGORIES, 200)
+    assert len(texts) == 200 and flags.shape == (200, 2) and (weight == 1).all()
+    texts, _, weight = toxicity.training_sample(cases.docs(spark, rows), spark.createDataFrame(labels, LABELS), toxicity.CATEGORIES, 120)
+    assert len(texts) == 120 and abs(weight.sum() - 200) < 1e-6
+
+
 def test_query_on_labelled_documents(spark, sf_dir):
     sf_dir = f"{Path(sf_dir).parent}/sf0.01"  # the smallest table has too few toxic documents to learn from
     got = {r["doc_id"]: r for r in queries.op10_toxicity_chain(spark, sf_dir).collect()}
