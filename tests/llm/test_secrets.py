@@ -67,6 +67,23 @@ def test_learned_format_is_added(spark):
     assert all([s["kind"] for s in got[k]] == [0, 2] for k in range(80))
 
 
+def test_formats_come_from_every_credential(spark, monkeypatch):
+    rng = random.Random(4)
+    tokens = ["".join(rng.choices("ABCDEFGHxyz", k=rng.randint(10, 14))) for _ in range(650)] + ["zz-" + "".join(rng.choices("01", k=9)) for _ in range(60)]
+    words = ["".join(rng.choices(["tion", "keit", "and", "the", "er"], k=8)) for _ in range(500)]
+    rows = [cases.row(k, f"{words[k % 500]} says token = {t} today") for k, t in enumerate(tokens)]
+    found = secrets.scan(cases.docs(spark, rows))
+    for share in (secrets.SHARE, 0.5):  # states that few strings reach join others; no string is left out
+        monkeypatch.setattr(secrets, "SHARE", share)
+        formats, ordinary = secrets.learn(found)
+        assert len(formats) == 1
+        for got, strings in ((formats[0], set(tokens)), (ordinary, set(words))):
+            want = secrets.Automaton(sorted(strings))
+            assert sum(got.ends) == len(strings)
+            assert sum(got.count) == sum(len(s) + 1 for s in strings)
+            assert (got.next, got.count, got.ends, got.passed) == (want.next, want.count, want.ends, want.passed)
+
+
 def test_edges(spark):
     got = [(r["doc_id"], [s["kind"] for s in r["secrets"]]) for r in secrets.find_secrets(cases.docs(spark)).collect()]
     assert len(got) == len(cases.ROWS) and (9, [0, 2, 1]) in got and (3, []) in got and (None, []) in got
