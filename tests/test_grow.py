@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -64,7 +65,7 @@ def test_one_task_and_a_job_per_level_agree(spark, rows, subset, monkeypatch):
         monkeypatch.setattr(grow, "TASK_ROWS", 500)
         monkeypatch.setattr(grow, "LINEAGE", 3)
         boost = grow.boost
-        monkeypatch.setattr(grow, "boost", lambda *a: boost(*a, alone=alone))
+        monkeypatch.setattr(grow, "boost", lambda *a: boost(*a[:-1], alone))
         model = Tree(["a", "b", "c"], kind="gradient_boosting", num_trees=8, max_depth=4, feature_subset=subset).fit(rows)
         monkeypatch.setattr(grow, "boost", boost)
         return [r.p for r in model.raw(rows, "p").orderBy("a", "b", "c", "sale_amount").collect()], model.fitted.totalNumNodes
@@ -117,6 +118,19 @@ def test_few_spark_jobs(spark, rows, kind, most):
         sc.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_stacked_fits_share_the_cores(spark, rows, monkeypatch):
+    """Fits side by side take one task each; a fit that stands alone is dealt out sooner."""
+    from shelftide.forecast.stack import Stacked
+
+    limits, boost = [], grow.boost
+    monkeypatch.setattr(grow, "boost", lambda *a: limits.append(a[-1]) or boost(*a))
+    df = rows.withColumns({"store_id": F.lit(1), "product_id": F.col("a").cast("int"), "dt": F.timestamp_seconds(F.monotonically_increasing_id())})
+    base = Tree(kind="boosted_colsample", num_trees=2, max_depth=2, impute="constant")
+    Stacked(["a", "b", "c"], {"boosted": base}, folds=2, parallelism=3).fit(df)
+    replace(base, features=["a", "b", "c"]).fit(df)
+    assert limits == [3 * grow.ALONE] * 3 + [grow.ALONE]
+
+
 def test_columns_per_node_follow_spark():
     assert [grow.columns_per_node(r, 7, 100) for r in ("all", "sqrt", "log2", "onethird", "auto", "0.8", "4", "1.0")] == [7, 3, 3, 3, 3, 6, 4, 7]
 
